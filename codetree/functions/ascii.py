@@ -12,7 +12,7 @@ SINGLE = {
     "ø": "o", "đ": "d", "ð": "d", "ł": "l", "ħ": "h", "ı": "i", "ĸ": "q", "ŋ": "n", "ŧ": "t", "ſ": "s",
     "Ø": "O", "Đ": "D", "Ð": "D", "Ł": "L", "Ħ": "H", "Ŋ": "N", "Ŧ": "T",
     "‘": "'", "’": "'", "‚": ",", "‹": "<", "›": ">", "“": '"', "”": '"',
-    "‐": "-", "‑": "-", "‒": "-", "–": "-", "—": "-", "−": "-", "×": "*", "÷": "/", " ": " ",
+    "‐": "-", "‑": "-", "‒": "-", "–": "-", "—": "-", "−": "-", "×": "*", "÷": "/", "\u00a0": " ",
 }
 
 # Characters that become several ASCII characters.
