@@ -41,10 +41,12 @@ _PAIRS = _single_pairs()
 
 def to_ascii(col: Column) -> Column:
     """Replace Latin letters with diacritics and typographic signs by ASCII."""
-    out = F.translate(col, "".join(_PAIRS.keys()), "".join(_PAIRS.values()))
-    for char, text in MULTIPLE.items():
-        out = F.replace(out, F.lit(char), F.lit(text))
-    return F.regexp_replace(out, r"(?<=[A-Za-z0-9])\p{Mn}+", "")
+    single = F.translate(col, "".join(_PAIRS.keys()), "".join(_PAIRS.values()))
+    pairs = F.array(*[F.struct(F.lit(a).alias("char"), F.lit(b).alias("text")) for a, b in MULTIPLE.items()])
+    spelled = F.aggregate(pairs, single, lambda text, pair: F.replace(text, pair["char"], pair["text"]))
+    plain = F.regexp_replace(spelled, r"(?<=[A-Za-z0-9])\p{Mn}+", "")
+    # Most texts are ASCII already: as many bytes as characters.
+    return F.when(F.octet_length(col) == F.length(col), col).otherwise(plain)
 
 
 def ascii_lower(col: Column) -> Column:

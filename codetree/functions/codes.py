@@ -22,8 +22,8 @@ def insert_dot(code: Column) -> Column:
 
 
 def pad_code(code: Column, width: int = 7, filler: str = "X") -> Column:
-    """Right-pad to ``width``; longer codes stay whole (``rpad`` alone would cut them)."""
-    return F.when(F.length(code) < width, F.rpad(code, width, filler)).otherwise(code)
+    """Right-pad to ``width``; longer codes stay whole, where plain ``rpad`` would cut them."""
+    return F.rpad(code, F.greatest(F.lit(width), F.length(code)), F.lit(filler))
 
 
 def prefix(code: Column, n: int) -> Column:

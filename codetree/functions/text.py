@@ -17,8 +17,14 @@ ROMAN = (
 ).split()
 
 
+# The characters that trimming removes.
+BLANKS = " \t\r\n"
+
+
 def trim_ws(col: Column) -> Column:
-    return F.btrim(col, F.lit(" \t\r\n"))
+    """Text without blanks at its ends; only texts that have some are rebuilt."""
+    blank_end = F.rlike(col, F.lit(f"^[{BLANKS}]|[{BLANKS}]$"))
+    return F.when(blank_end, F.btrim(col, F.lit(BLANKS))).otherwise(col)
 
 
 def squeeze(col: Column) -> Column:
@@ -31,12 +37,10 @@ def strip_revision_tags(col: Column) -> Column:
     return F.regexp_replace(col, f"</?(?:{'|'.join(REVISION_TAGS)})(?:\\s[^>]*)?/?>", "")
 
 
-def remove_first(col: Column, pattern: str) -> Column:
-    return replace_first(col, pattern, "")
-
-
 def replace_first(col: Column, pattern: str, replacement: str) -> Column:
-    return F.regexp_replace(col, f"(?s)^(.*?)(?:{pattern})", f"$1{replacement}")
+    """Replace only the first match; texts without one are left as they are."""
+    replaced = F.regexp_replace(col, f"(?s)^(.*?)(?:{pattern})", f"$1{replacement}")
+    return F.when(F.rlike(col, F.lit(pattern)), replaced).otherwise(col)
 
 
 def roman(col: Column) -> Column:
@@ -46,20 +50,24 @@ def roman(col: Column) -> Column:
     return F.when(n.between(1, len(ROMAN)), F.element_at(numerals, n))
 
 
+def _without_commas(col: Column) -> Column:
+    return F.replace(F.coalesce(col, F.lit("")), F.lit(","), F.lit(" "))
+
+
 def _words(col: Column) -> Column:
-    return F.split(F.translate(F.coalesce(col, F.lit("")), ",", " "), " ")
+    return F.split(_without_commas(col), " ")
 
 
 def word_diff(text: Column, reference: Column) -> Column:
     """Words of ``text`` that ``reference`` lacks: unique, in first-seen order."""
-    ref = trim_ws(F.translate(F.coalesce(reference, F.lit("")), ",", " "))
-    left = F.array_except(_words(text), F.split(ref, " "))
+    known = F.split(trim_ws(_without_commas(reference)), " ")
+    left = F.array_except(_words(text), known)
     return trim_ws(squeeze(F.array_join(left, " ")))
 
 
 def delete_punctuation(col: Column) -> Column:
     """Keep letters, digits and spaces; other characters are deleted, not blanked."""
-    return F.regexp_replace(col, r"[^\p{IsAlphabetic}\p{Nd} ]", "")
+    return F.regexp_replace(col, r"[^\p{IsAlphabetic}\p{Nd} ]+", "")
 
 
 def tokens(col: Column, stop_words: list[str] | None = None) -> Column:

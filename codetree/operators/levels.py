@@ -54,14 +54,15 @@ def leaf_table(nodes: DataFrame) -> DataFrame:
 
     A code whose parent is missing stays as a row without ancestors.
     """
-    levels = code_levels(nodes)
+    plain = F.when(F.col("level") == "extension", F.col("desc")).otherwise(ascii_lower(F.col("desc")))
+    levels = code_levels(nodes).withColumn("desc", plain)
     tables = [(_level_table(levels, title, above), title) for _, title, above in LEVELS]
     joined = reduce(
         lambda left, right: (left[0].join(right[0], ["year", right[1]], "full"), right[1]), tables
     )[0]
     code = F.coalesce(*[F.col(title) for _, title, _ in LEVELS])
-    described = [c for p in PARENTS for c in (F.col(p), ascii_lower(F.col(f"{p}_desc")).alias(f"{p}_desc"))]
-    return joined.select("year", code.alias("icd10_code"), *described, "extension", "extension_desc")
+    columns = [c for level in (*PARENTS, "extension") for c in (level, f"{level}_desc")]
+    return joined.select("year", code.alias("icd10_code"), *columns)
 
 
 def char_positions(df: DataFrame, code: str = "code") -> DataFrame:

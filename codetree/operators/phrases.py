@@ -8,13 +8,13 @@ from pyspark.sql import functions as F
 from codetree.functions.text import tokens
 from codetree.operators.levels import char_positions
 from codetree.operators.ordered import fill_down
-from codetree.staging import stage
+from codetree.staging import spread, stage
 
 
 def tokenize(df: DataFrame, text: str = "description", stop_words: list[str] | None = None) -> DataFrame:
     """One row per word of ``text`` with its position from 1; other columns stay."""
     keep = [c for c in df.columns if c != text]
-    return df.select(
+    return spread(df).select(
         *keep, F.posexplode(tokens(F.col(text), stop_words)).alias("pos", "word")
     ).select(*keep, (F.col("pos") + 1).alias("ord"), "word")
 

@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from codetree.functions.text import remove_first, trim_ws, word_diff
+from codetree.functions.text import trim_ws, word_diff
 from codetree.operators.levels import PARENTS, leaf_table
 from codetree.operators.ranges import range_assign
 from codetree.operators.rules import apply_rules, rule_mentions
@@ -32,16 +32,19 @@ def description(missing: str = "na") -> Column:
     return F.lower(F.concat(deepest, F.lit(" "), F.coalesce("extension_desc", F.lit(""))))
 
 
-def describe(assigned: DataFrame, missing: str = "na") -> DataFrame:
-    """Add description and level differences; all text is trimmed."""
-    texts = {
-        "description": description(missing),
-        **{
+def level_diffs(leaves: DataFrame) -> DataFrame:
+    """Add the words each level's description has over the level above."""
+    return leaves.withColumns(
+        {
             f"{low}_diff": word_diff(F.col(f"{low}_desc"), F.col(f"{high}_desc"))
             for high, low in zip(PARENTS, PARENTS[1:])
-        },
-    }
-    full = assigned.withColumns(texts)
+        }
+    )
+
+
+def describe(assigned: DataFrame, missing: str = "na") -> DataFrame:
+    """Add the description; all text is trimmed."""
+    full = assigned.withColumn("description", description(missing))
     return full.select(
         "year", *[trim_ws(F.col(c)).alias(c) for c in OUTPUT if c in full.columns and c != "year"]
     )
@@ -69,7 +72,7 @@ def derived_parents(built: DataFrame) -> DataFrame:
     )
     missing = offered.join(built.select("year", "icd10_code").distinct(), ["year", "icd10_code"], "left_anti")
     return missing.withColumns(
-        {c: remove_first(F.col(c), ",$") for c in built.columns if "desc" in c}
+        {c: F.regexp_replace(c, ",$", "") for c in built.columns if "desc" in c}
     ).select(*built.columns)
 
 
@@ -87,7 +90,9 @@ def hierarchy(
     (year, ord, desc), ``rules`` is (year, ord, name, note, char, text).
     """
     nodes = stage(nodes.select("year", "depth", "code", "desc"), "nodes")
-    extended = stage(apply_rules(leaf_table(nodes), rule_mentions(rules)), "extended")
+    # Differences depend on the levels only, so they come before rules multiply the rows.
+    leaves = stage(level_diffs(leaf_table(nodes)), "leaves")
+    extended = stage(apply_rules(leaves, rule_mentions(rules)), "extended")
     built = stage(describe(range_assign(extended, chapters, sections), missing), "built")
     day = F.current_date() if update_date is None else F.lit(update_date)
     return (

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from codetree.functions.text import tokens
 from codetree.operators.levels import char_positions
 from codetree.operators.phrases import code_spine, phrase_mine
-from codetree.staging import stage
+from codetree.staging import spread, stage
 
 # Output column and the working column it shows.
 OUTPUT = {
@@ -52,7 +52,7 @@ def phrase_table(listing: DataFrame, categories: DataFrame, stop_words: list[str
     phrases = stage(phrase_mine(codes, stop_words=stop_words), "phrases")
     spine = stage(code_spine(categories), "spine")
     return (
-        char_positions(codes)
+        char_positions(spread(codes))
         .drop("C1", "N1", "N2")
         .withColumn("description", F.lower("description"))
         .withColumn("search_base", F.array_join(tokens(F.col("description"), stop_words), " "))

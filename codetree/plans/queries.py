@@ -18,11 +18,11 @@ from codetree.operators.ranges import range_assign, range_assign_interval
 from codetree.operators.rollup import prefix_rollup, rollup_enrich, rollup_map, rollup_profile
 from codetree.operators.rules import apply_rules, apply_rules_broadest_first, rule_mentions, rule_summary
 from codetree.plans.flattened import aligned_names, filled_names
-from codetree.plans.hierarchy import DIFFS, RANGE_COLUMNS, derived_parents, describe, hierarchy
+from codetree.plans.hierarchy import DIFFS, RANGE_COLUMNS, derived_parents, describe, hierarchy, level_diffs
 from codetree.plans.phrase_table import listed_codes, phrase_table
 from codetree.plans.views import view
 from codetree.sources.tabular_xml import ROOT_TAG, node_table, parse_documents
-from codetree.staging import stage
+from codetree.staging import spread, stage
 
 THRESHOLD = 40
 UPDATE_DATE = date(2025, 1, 1)
@@ -41,7 +41,7 @@ def _nodes(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _leaves(spark: SparkSession, d: str) -> DataFrame:
-    return leaf_table(_nodes(spark, d))
+    return stage(leaf_table(_nodes(spark, d)), "leaves")
 
 
 def _extended(spark: SparkSession, d: str) -> DataFrame:
@@ -75,7 +75,7 @@ def q_code_levels(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def q_level_assembly(spark: SparkSession, d: str) -> DataFrame:
-    return _leaves(spark, d)
+    return leaf_table(_nodes(spark, d))
 
 
 @query
@@ -121,7 +121,7 @@ def q_broadest_rule_apply(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def q_range_assign(spark: SparkSession, d: str) -> DataFrame:
-    codes = stage(_leaves(spark, d).select("year", "icd10_code", "category"), "leaves")
+    codes = _leaves(spark, d).select("year", "icd10_code", "category")
     return range_assign(codes, view(spark, d, "chapters"), view(spark, d, "sections"))
 
 
@@ -130,7 +130,7 @@ def q_range_assign_interval(spark: SparkSession, d: str) -> DataFrame:
     ranges = view(spark, d, "sections").select(
         "year", "ord", F.col("desc").alias("id"), F.col("low").alias("first"), F.col("high").alias("last")
     )
-    codes = stage(_leaves(spark, d).select("year", "icd10_code", "category"), "leaves")
+    codes = _leaves(spark, d).select("year", "icd10_code", "category")
     return range_assign_interval(codes, ranges)
 
 
@@ -152,15 +152,7 @@ def q_fill_cascade(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def q_text_diff(spark: SparkSession, d: str) -> DataFrame:
-    leaves = _leaves(spark, d)
-    return leaves.select(
-        "year",
-        "icd10_code",
-        *[
-            word_diff(F.col(f"{low}_desc"), F.col(f"{high}_desc")).alias(f"{low}_diff")
-            for high, low in zip(PARENTS, PARENTS[1:])
-        ],
-    )
+    return level_diffs(leaf_table(_nodes(spark, d))).select("year", "icd10_code", *DIFFS)
 
 
 @query
@@ -168,7 +160,7 @@ def q_text_diff_documents(spark: SparkSession, d: str) -> DataFrame:
     """Words of a document that the document numbered before it lacks."""
     texts = view(spark, d, "listing").select("doc_id", "description")
     before = texts.select((F.col("doc_id") + 1).alias("doc_id"), F.col("description").alias("reference"))
-    return texts.join(before, "doc_id", "left").select(
+    return spread(texts).join(before, "doc_id", "left").select(
         "doc_id", word_diff(F.col("description"), F.col("reference")).alias("diff")
     )
 
@@ -178,7 +170,7 @@ def q_derived_parents(spark: SparkSession, d: str) -> DataFrame:
     plain = _extended(spark, d)
     for column in RANGE_COLUMNS:
         plain = plain.withColumn(column, F.lit(None).cast("string"))
-    derived = derived_parents(stage(describe(plain), "built"))
+    derived = derived_parents(stage(describe(level_diffs(plain)), "built"))
     return derived.select("year", "icd10_code", "description", *PARENTS, *DIFFS)
 
 

@@ -8,6 +8,8 @@ tables in full.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = (
@@ -167,10 +169,14 @@ _RENAMED = {
 }
 
 
+@lru_cache(maxsize=128)
+def _table(spark: SparkSession, path: str) -> DataFrame:
+    """The schema of a table is read once per session."""
+    return spark.read.parquet(path)
+
+
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A view as a lazy DataFrame over the parquet tables in ``sf_dir``."""
     sql = VIEWS[name]
-    tables = {
-        t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in TABLES if "{" + t + "}" in sql
-    }
+    tables = {t: _table(spark, f"{sf_dir}/{t}.parquet") for t in TABLES if "{" + t + "}" in sql}
     return spark.sql(sql, **tables).withColumnsRenamed(_RENAMED.get(name, {}))
