@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 # Latin letters without a canonical decomposition, one to one.
 SINGLE = {
-    "ø": "o", "đ": "d", "ð": "d", "ł": "l", "ħ": "h", "ı": "i", "ĸ": "q", "ŋ": "n", "ŧ": "t", "ſ": "s",
-    "Ø": "O", "Đ": "D", "Ð": "D", "Ł": "L", "Ħ": "H", "Ŋ": "N", "Ŧ": "T",
+    "ø": "o", "đ": "d", "ð": "d", "ł": "l", "ŀ": "l", "ħ": "h", "ı": "i", "ĸ": "q", "ŋ": "n", "ŧ": "t", "ſ": "s",
+    "Ø": "O", "Đ": "D", "Ð": "D", "Ł": "L", "Ŀ": "L", "Ħ": "H", "Ŋ": "N", "Ŧ": "T",
     "‘": "'", "’": "'", "‚": ",", "‹": "<", "›": ">", "“": '"', "”": '"',
     "‐": "-", "‑": "-", "‒": "-", "–": "-", "—": "-", "−": "-", "×": "*", "÷": "/", "\u00a0": " ",
 }

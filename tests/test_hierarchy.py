@@ -1,0 +1,102 @@
+from datetime import date
+
+import pytest
+
+from codetree.operators.quality import code_quality
+from codetree.plans.hierarchy import OUTPUT, hierarchy_from_releases
+from codetree.sources import tabular_xml as xml
+from codetree.staging import stage
+from tests import releases
+
+
+@pytest.fixture(scope="module")
+def table(spark):
+    texts = [(2031, releases.FULL), (2032, releases.SMALL)]
+    docs = xml.parse_documents(spark.createDataFrame(texts, "year int, xml string"), "xml", "year")
+    return stage(hierarchy_from_releases(docs, date(2031, 1, 2)), "finished")
+
+
+@pytest.fixture(scope="module")
+def rows(table):
+    return {(r.year, r.icd10_code): r for r in table.collect()}
+
+
+def codes(rows, year, derived):
+    return sorted(c for (y, c), r in rows.items() if y == year and r.derived_code_ind == derived)
+
+
+def test_columns(table):
+    assert table.columns == OUTPUT
+    kinds = {f.name: f.dataType.simpleString() for f in table.schema}
+    assert kinds.pop("year") == "int" and kinds.pop("derived_code_ind") == "int" and kinds.pop("update_date") == "date"
+    assert set(kinds.values()) == {"string"}
+
+
+def test_built_codes(rows):
+    assert codes(rows, 2031, 0) == [
+        "L20.00XA", "L20.00XD", "L20.00XS", "L20.011A", "L20.011D", "L20.011S", "L23", "L25.1XXA", "L25.1XXD",
+        "M12", "M40.1111", "M40.1112", "M41.1011", "S12.000A", "S12.000B", "S12.8XXA", "S12.8XXD", "S12.8XXS",
+    ]
+
+
+def test_derived_codes(rows):
+    assert codes(rows, 2031, 1) == [
+        "L20", "L20.0", "L20.00", "L20.01", "L20.011", "L25", "L25.1", "M40", "M40.1", "M40.11", "M40.111",
+        "M41", "M41.1", "M41.10", "M41.101", "S12", "S12.0", "S12.00", "S12.000", "S12.8",
+    ]
+
+
+def test_years_do_not_mix(rows):
+    assert codes(rows, 2032, 0) == ["L20.0", "L21.00", "L21.555"]
+    assert codes(rows, 2032, 1) == ["L20", "L21", "L21.0", "L21.55"]
+
+
+def test_no_duplicates(table):
+    assert {r.dupes for r in code_quality(table, ["year"]).collect()} == {0}
+    assert table.count() == 45
+
+
+def test_ranges_start_at_existing_ends_and_run_on(rows):
+    def ranges(code):
+        return rows[2031, code].chapter, rows[2031, code].section
+
+    assert ranges("L20.00XA") == (None, "L20-L29")
+    assert ranges("L23") == (None, "L20-L29")
+    assert ranges("L25.1XXA") == (None, "L25-L30")
+    assert ranges("M12") == (None, "L25-L30")
+    assert ranges("M40.1111") == ("M40-S12", "M40-M49")
+    assert ranges("S12.8XXA") == ("M40-S12", "M40-M49")
+    assert rows[2031, "L20"].section_desc == "Brittle bones (old) (L20-L29)"
+
+
+def test_texts(rows):
+    row = rows[2031, "L25.1XXA"]
+    assert row.description == "broken bone, new type, first visit"
+    assert row.subcategory_1_diff == "new type"
+    assert (row.extension, row.extension_desc) == ("A", "first visit")
+    derived = rows[2031, "L25.1"]
+    assert derived.description == derived.subcategory_1_desc == "broken bone, new type"
+    assert (derived.extension, derived.subcategory_2, derived.subcategory_2_diff) == (None, None, None)
+    assert rows[2031, "L20.00XS"].extension_desc == "sequelle"
+    explicit = rows[2031, "M41.1011"]
+    assert (explicit.extension, explicit.extension_desc) == ("1", "Ear growth, inner, plain, side one, TOP")
+    assert explicit.description == "ear growth, inner, plain, side one ear growth, inner, plain, side one, top"
+    assert rows[2031, "M40.11"].subcategory_2_diff == "very"
+
+
+def test_orphan(rows):
+    row = rows[2032, "L21.555"]
+    assert (row.category, row.subcategory_1, row.subcategory_2) == (None, None, "L21.55")
+    assert (row.chapter, row.section, row.description) == ("L20-L99", "L20-L29", "orphan bone")
+    assert rows[2032, "L21.55"].description is None
+
+
+def test_explicit_orphan_has_missing_text(spark):
+    nodes = spark.createDataFrame([(1, 5, "Q10.1234", "Lone end")], "year int, depth int, code string, desc string")
+    empty = spark.createDataFrame([], "year int, ord int, desc string")
+    rules = spark.createDataFrame([], "year int, ord int, name string, note string, char string, text string")
+    from codetree.plans.hierarchy import hierarchy
+
+    built = {r.icd10_code: r for r in hierarchy(nodes, empty, empty, rules).collect()}
+    assert built["Q10.1234"].description == "na lone end"
+    assert built["Q10.123"].derived_code_ind == 1

@@ -1,0 +1,91 @@
+import pytest
+from pyspark.sql import functions as F
+
+from codetree.functions import codes, text
+from codetree.functions.ascii import ascii_lower, to_ascii
+from codetree.functions.stopwords import description_stop_words
+
+
+def one(spark, column, **values):
+    schema = ", ".join(f"{k} string" for k in values)
+    return spark.createDataFrame([tuple(values.values())], schema).select(column).first()[0]
+
+
+@pytest.mark.parametrize(
+    "x, ref, want",
+    [
+        ("1 2 3 4-6", "1 3", "2 4-6"),
+        ("a, b a c c", "a", "b c"),
+        (None, "a", ""),
+        ("a b", None, "a b"),
+        ("z b a b", "", "z b a"),
+        ("same words", "words same", ""),
+    ],
+)
+def test_word_diff(spark, x, ref, want):
+    assert one(spark, text.word_diff(F.col("x"), F.col("ref")), x=x, ref=ref) == want
+
+
+@pytest.mark.parametrize(
+    "raw, want",
+    [
+        ("Ménière's Œdème ß Łódź", "meniere's oedeme ss lodz"),
+        ("plain", "plain"),
+        ("été – “x”…", 'ete - "x"...'),
+        (None, None),
+    ],
+)
+def test_ascii_lower(spark, raw, want):
+    assert one(spark, ascii_lower(F.col("x")), x=raw) == want
+
+
+def test_to_ascii_covers_latin_letters(spark):
+    letters = "".join(chr(c) for c in range(0x00C0, 0x0180) if chr(c).isalpha())
+    assert one(spark, to_ascii(F.col("x")), x=letters).isascii()
+
+
+@pytest.mark.parametrize("code, want", [("S12.8", "S12.8XX"), ("C44.1021", "C44.1021"), ("M80.00", "M80.00X")])
+def test_pad_never_truncates(spark, code, want):
+    assert one(spark, codes.pad_code(F.col("x")), x=code) == want
+
+
+@pytest.mark.parametrize("code, want", [("S12.0", "S12"), ("S12.00", "S12.0"), ("S12", "S1"), ("C44.1021", "C44.102")])
+def test_parent_code(spark, code, want):
+    assert one(spark, codes.parent_code(F.col("x")), x=code) == want
+
+
+@pytest.mark.parametrize("code, want", [("A33", "A33"), ("S42001A", "S42.001A"), ("U07", "U07")])
+def test_insert_dot(spark, code, want):
+    assert one(spark, codes.insert_dot(F.col("x")), x=code) == want
+
+
+def test_dotless_length_drops_one_dot(spark):
+    assert one(spark, codes.dotless_length(F.col("x")), x="A1.2.3") == 5
+
+
+def test_roman(spark):
+    assert one(spark, text.roman(F.col("x")), x="19") == "XIX"
+    assert one(spark, text.roman(F.col("x")), x="31") is None
+
+
+def test_trim_and_tags(spark):
+    assert one(spark, text.trim_ws(F.col("x")), x="\t a b \n") == "a b"
+    assert one(spark, text.trim_ws(F.col("x")), x="a b") == "a b"
+    assert one(spark, text.strip_revision_tags(F.col("x")), x="a <new>b</new> <old/>c <x>") == "a b c <x>"
+    assert one(spark, text.squeeze(F.col("x")), x="a   b c") == "a b c"
+
+
+def test_replace_first(spark):
+    assert one(spark, text.replace_first(F.col("x"), "b.", "-"), x="abcbcb") == "a-bcb"
+    assert one(spark, text.replace_first(F.col("x"), "q", "-"), x="abc") == "abc"
+
+
+def test_tokens_delete_punctuation_and_stop_words(spark):
+    got = one(spark, text.tokens(F.col("x")), x="The E-coli,  infection of (unspecified) ears; I'm right")
+    assert got == ["ecoli", "infection", "ears", "right"]
+
+
+def test_stop_words():
+    words = description_stop_words()
+    assert "im" in words and "right" not in words and "unspecified" in words
+    assert len(words) == len(set(words))
