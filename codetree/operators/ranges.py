@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from codetree.functions.codes import prefix
+from codetree.functions.text import trim_ws
 from codetree.operators.ordered import fill_down, last_per_group
 
 
@@ -20,8 +21,8 @@ def range_endpoints(df: DataFrame, name: str) -> DataFrame:
         "year",
         "ord",
         F.posexplode(F.split(name, "[^0-9A-Za-z.]+")).alias("pos", "category"),
-        name,
-        f"{name}_desc",
+        trim_ws(F.col(name)).alias(name),
+        trim_ws(F.col(f"{name}_desc")).alias(f"{name}_desc"),
     )
 
 

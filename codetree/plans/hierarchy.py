@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from codetree.functions.text import trim_ws, word_diff
@@ -23,30 +23,29 @@ OUTPUT = [
 ]
 
 
-def description(missing: str = "na") -> Column:
-    """Deepest level description plus the 7th character's, in lower case.
+def level_texts(leaves: DataFrame, missing: str = "na") -> DataFrame:
+    """Add what depends on the levels alone, before rules multiply the rows.
 
-    ``missing`` stands for the level description of a code without ancestors.
+    The words each level's description has over the level above, and the deepest
+    description as ``level_desc``. ``missing`` stands in for a code without
+    described ancestors. Level descriptions are trimmed after they were used.
     """
+    diffs = {
+        f"{low}_diff": word_diff(F.col(f"{low}_desc"), F.col(f"{high}_desc"))
+        for high, low in zip(PARENTS, PARENTS[1:])
+    }
     deepest = F.coalesce(*[F.col(f"{p}_desc") for p in reversed(PARENTS)], F.lit(missing))
-    return F.lower(F.concat(deepest, F.lit(" "), F.coalesce("extension_desc", F.lit(""))))
+    trimmed = {f"{p}_desc": trim_ws(F.col(f"{p}_desc")) for p in PARENTS}
+    return leaves.withColumns({**diffs, "level_desc": deepest, **trimmed})
 
 
-def level_diffs(leaves: DataFrame) -> DataFrame:
-    """Add the words each level's description has over the level above."""
-    return leaves.withColumns(
-        {
-            f"{low}_diff": word_diff(F.col(f"{low}_desc"), F.col(f"{high}_desc"))
-            for high, low in zip(PARENTS, PARENTS[1:])
-        }
-    )
-
-
-def describe(assigned: DataFrame, missing: str = "na") -> DataFrame:
-    """Add the description; all text is trimmed."""
-    full = assigned.withColumn("description", description(missing))
+def describe(assigned: DataFrame) -> DataFrame:
+    """Add the description, lower case: the level's and the 7th character's; trim the rest."""
+    text = F.concat("level_desc", F.lit(" "), F.coalesce("extension_desc", F.lit("")))
+    full = assigned.withColumn("description", F.lower(text))
+    raw = ["icd10_code", "description", *PARENTS, "extension", "extension_desc"]
     return full.select(
-        "year", *[trim_ws(F.col(c)).alias(c) for c in OUTPUT if c in full.columns and c != "year"]
+        "year", *[trim_ws(F.col(c)).alias(c) if c in raw else c for c in OUTPUT if c in full.columns and c != "year"]
     )
 
 
@@ -89,11 +88,11 @@ def hierarchy(
     ``nodes`` is (year, depth, code, desc), ``chapters`` and ``sections`` are
     (year, ord, desc), ``rules`` is (year, ord, name, note, char, text).
     """
-    nodes = stage(nodes.select("year", "depth", "code", "desc"), "nodes")
-    # Differences depend on the levels only, so they come before rules multiply the rows.
-    leaves = stage(level_diffs(leaf_table(nodes)), "leaves")
-    extended = stage(apply_rules(leaves, rule_mentions(rules)), "extended")
-    built = stage(describe(range_assign(extended, chapters, sections), missing), "built")
+    # A code given twice in the same words counts once.
+    nodes = stage(nodes.groupBy("year", "code", "desc").agg(F.max("depth").alias("depth")), "nodes")
+    leaves = stage(level_texts(leaf_table(nodes), missing), "leaves")
+    extended = stage(apply_rules(leaves, rule_mentions(rules), unique_leaves=True), "extended")
+    built = stage(describe(range_assign(extended, chapters, sections)), "built")
     day = F.current_date() if update_date is None else F.lit(update_date)
     return (
         built.withColumn("derived_code_ind", F.lit(0))

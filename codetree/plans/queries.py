@@ -18,7 +18,7 @@ from codetree.operators.ranges import range_assign, range_assign_interval
 from codetree.operators.rollup import prefix_rollup, rollup_enrich, rollup_map, rollup_profile
 from codetree.operators.rules import apply_rules, apply_rules_broadest_first, rule_mentions, rule_summary
 from codetree.plans.flattened import aligned_names, filled_names
-from codetree.plans.hierarchy import DIFFS, RANGE_COLUMNS, derived_parents, describe, hierarchy, level_diffs
+from codetree.plans.hierarchy import DIFFS, RANGE_COLUMNS, derived_parents, describe, hierarchy, level_texts
 from codetree.plans.phrase_table import listed_codes, phrase_table
 from codetree.plans.views import view
 from codetree.sources.tabular_xml import ROOT_TAG, node_table, parse_documents
@@ -50,7 +50,7 @@ def _extended(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def q_prefix_rollup(spark: SparkSession, d: str) -> DataFrame:
-    return prefix_rollup(view(spark, d, "visits"), threshold=THRESHOLD)
+    return prefix_rollup(view(spark, d, "visit_codes"), threshold=THRESHOLD)
 
 
 @query
@@ -89,7 +89,7 @@ def q_code_quality(spark: SparkSession, d: str) -> DataFrame:
 @query
 def q_coverage_gap(spark: SparkSession, d: str) -> DataFrame:
     official = (
-        view(spark, d, "visits")
+        view(spark, d, "visit_codes")
         .select(F.replace("field", F.lit("."), F.lit("")).alias("icd10_code"), F.lit("visited").alias("description"))
         .distinct()
     )
@@ -152,7 +152,7 @@ def q_fill_cascade(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def q_text_diff(spark: SparkSession, d: str) -> DataFrame:
-    return level_diffs(leaf_table(_nodes(spark, d))).select("year", "icd10_code", *DIFFS)
+    return level_texts(leaf_table(_nodes(spark, d))).select("year", "icd10_code", *DIFFS)
 
 
 @query
@@ -167,10 +167,10 @@ def q_text_diff_documents(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def q_derived_parents(spark: SparkSession, d: str) -> DataFrame:
-    plain = _extended(spark, d)
-    for column in RANGE_COLUMNS:
-        plain = plain.withColumn(column, F.lit(None).cast("string"))
-    derived = derived_parents(stage(describe(level_diffs(plain)), "built"))
+    leaves = stage(level_texts(leaf_table(_nodes(spark, d))), "leaves")
+    extended = apply_rules(leaves, rule_mentions(view(spark, d, "rules")))
+    plain = extended.withColumns({c: F.lit(None).cast("string") for c in RANGE_COLUMNS})
+    derived = derived_parents(stage(describe(plain), "built"))
     return derived.select("year", "icd10_code", "description", *PARENTS, *DIFFS)
 
 

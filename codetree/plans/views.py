@@ -38,6 +38,12 @@ SELECT p.code AS field, o_custkey AS custkey, cast(l_shipdate AS date) AS day,
 FROM {{lineitem}}
 JOIN ({_PART_CODES}) p ON l_partkey = p.p_partkey
 JOIN {{orders}} ON l_orderkey = o_orderkey
+""",
+    # The codes alone, where nothing else of the visit is asked for.
+    "visit_codes": f"""
+SELECT p.code AS field
+FROM {{lineitem}}
+JOIN ({_PART_CODES}) p ON l_partkey = p.p_partkey
 """,
     # The same codes with a letter per kind of part.
     "visits_by_type": f"""

@@ -19,27 +19,40 @@ from pyspark.sql import DataFrame, SparkSession
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
+# Temporary folders of local sessions without a configured one, by application.
+_local_dirs: dict[str, str] = {}
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared scratch folder of the session; a temporary one only in local mode."""
-    configured = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getConf().get(
-        CHECKPOINT_CONF
-    )
+    context = spark.sparkContext
+    configured = spark.conf.get(CHECKPOINT_CONF, None) or context.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_CONF} to a folder all executors can reach")
-    created = tempfile.mkdtemp(prefix="codetree-")
-    spark.conf.set(CHECKPOINT_CONF, created)
-    return created
+    if context.applicationId not in _local_dirs:
+        _local_dirs[context.applicationId] = tempfile.mkdtemp(prefix="codetree-")
+    return _local_dirs[context.applicationId]
+
+
+def _session_folder(spark: SparkSession) -> str:
+    return f"{checkpoint_dir(spark)}/codetree/{spark.sparkContext.applicationId}"
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and return a DataFrame that reads the written table."""
-    path = f"{checkpoint_dir(df.sparkSession)}/codetree/{label}-{uuid.uuid4().hex}"
+    path = f"{_session_folder(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop_staged(spark: SparkSession) -> None:
+    """Delete what this application staged; results not yet written are lost with it."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(_session_folder(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Deal rows out to all cores when the input has fewer files than there are cores.
 

@@ -49,13 +49,13 @@ def test_entry_has_rows(spark):
 
 def test_rollup_by_length(spark):
     """Codes resolved per length at sf0.01, as counted by a plain loop over the codes."""
-    rolled = prefix_rollup(view(spark, "/root/testdata/sf0.01", "visits"), threshold=THRESHOLD).distinct()
+    rolled = prefix_rollup(view(spark, "/root/testdata/sf0.01", "visit_codes"), threshold=THRESHOLD).distinct()
     sizes = rolled.selectExpr("length(shorten) AS l").groupBy("l").count().collect()
     assert {r["l"]: r["count"] for r in sizes} == {7: 98, 6: 524, 5: 1283, 4: 63, 3: 18}
 
 
 def test_facts_are_not_shuffled_to_meet_their_groups(spark):
-    df = prefix_rollup(view(spark, SF, "visits"), threshold=THRESHOLD)
+    df = prefix_rollup(view(spark, SF, "visit_codes"), threshold=THRESHOLD)
     plan = df._jdf.queryExecution().sparkPlan().toString()
     assert plan.count("BroadcastHashJoin") >= 1 and "SortMergeJoin" not in plan.split("Scan parquet")[0]
 

@@ -1,0 +1,36 @@
+from pathlib import Path
+from types import SimpleNamespace
+
+import pytest
+
+from codetree import staging
+
+
+def session(master, configured=None, context_dir=None):
+    context = SimpleNamespace(master=master, applicationId="app", getCheckpointDir=lambda: context_dir)
+    return SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda key, default: configured))
+
+
+def test_configured_folder_is_used():
+    assert staging.checkpoint_dir(session("spark://x", configured="hdfs:///shared/")) == "hdfs:///shared"
+    assert staging.checkpoint_dir(session("spark://x", context_dir="hdfs:///set")) == "hdfs:///set"
+
+
+def test_cluster_without_folder_is_refused():
+    with pytest.raises(ValueError):
+        staging.checkpoint_dir(session("spark://x"))
+
+
+def test_local_session_gets_one_folder(monkeypatch, tmp_path):
+    monkeypatch.setattr(staging.tempfile, "mkdtemp", lambda prefix: str(tmp_path))
+    monkeypatch.setattr(staging, "_local_dirs", {})
+    assert staging.checkpoint_dir(session("local[2]")) == staging.checkpoint_dir(session("local[2]")) == str(tmp_path)
+
+
+def test_staged_tables_can_be_dropped(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(staging, "checkpoint_dir", lambda session: str(tmp_path))
+    assert staging.stage(spark.range(3), "numbers").count() == 3
+    folder = Path(staging._session_folder(spark))
+    assert list(folder.glob("numbers-*"))
+    staging.drop_staged(spark)
+    assert not folder.exists()
