@@ -44,9 +44,9 @@ def replace_first(col: Column, pattern: str, replacement: str) -> Column:
 
 
 def roman(col: Column) -> Column:
-    """Roman numeral of 1..30; null elsewhere."""
+    """Roman numeral of 1..30; null for anything else."""
     numerals = F.array(*[F.lit(r) for r in ROMAN])
-    n = col.cast("int")
+    n = col.try_cast("int")
     return F.when(n.between(1, len(ROMAN)), F.element_at(numerals, n))
 
 

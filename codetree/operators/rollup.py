@@ -20,6 +20,7 @@ def rollup_map(
     max_len: int | None = None,
     by: Sequence[str] = (),
     strip_dot: bool = False,
+    weight: str | None = None,
 ) -> DataFrame:
     """(by, field, rows, shorten, n) per distinct code; a staged table.
 
@@ -27,17 +28,19 @@ def rollup_map(
     no longer prefix has claimed becomes a group; whatever is left at
     ``min_len`` becomes one as well. ``n`` counts the claimed rows. Null codes
     are dropped. ``max_len`` is the length of the longest code; it is looked up
-    when not given.
+    when not given. ``weight`` names a column with the rows each input row
+    stands for, when rows have been counted before.
 
     Rows are counted per code once. The counts of unclaimed prefixes then climb
     one character at a time, so a group never holds more rows than there are
     characters, and a code finds its group by joining its own prefixes.
     """
     keys = list(by)
+    size = F.count(F.lit(1)) if weight is None else F.sum(weight)
     counts = stage(
         df.filter(F.col(field).isNotNull())
         .groupBy(*keys, F.col(field).alias("field"))
-        .agg(F.count(F.lit(1)).alias("rows")),
+        .agg(size.alias("rows")),
         "code-counts",
     )
     if max_len is None:
@@ -92,23 +95,24 @@ def rollup_enrich(
 ) -> DataFrame:
     """Facts per rolled-up group: rows, distinct subjects, first and last day.
 
-    Facts shrink to one row per code and subject before they meet the groups,
-    so no code, however frequent, has to be moved row by row.
+    Facts are read once and shrink to one row per code and subject. The roll-up
+    counts from there, and no code, however frequent, has to be moved row by row.
     """
-    groups = rollup_map(df, field, threshold, **options).select("field", "shorten")
-    per_subject = (
+    per_subject = stage(
         df.filter(F.col(field).isNotNull())
-        .groupBy(F.col(field).alias("field"), subject)
-        .agg(F.count(F.lit(1)).alias("rows"), F.min(day).alias("first"), F.max(day).alias("last"))
+        .groupBy(F.col(field).alias("field"), F.col(subject).alias("subject"))
+        .agg(F.count(F.lit(1)).alias("rows"), F.min(day).alias("first"), F.max(day).alias("last")),
+        "subjects",
     )
+    groups = rollup_map(per_subject, threshold=threshold, weight="rows", **options).select("field", "shorten")
     per_group_subject = (
         per_subject.join(groups, "field")
-        .groupBy("shorten", subject)
+        .groupBy("shorten", "subject")
         .agg(F.sum("rows").alias("rows"), F.min("first").alias("first"), F.max("last").alias("last"))
     )
     return per_group_subject.groupBy("shorten").agg(
         F.sum("rows").alias("n_rows"),
-        F.count(subject).alias("n_subjects"),
+        F.count("subject").alias("n_subjects"),
         F.min("first").alias("first_day"),
         F.max("last").alias("last_day"),
     )

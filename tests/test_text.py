@@ -66,6 +66,7 @@ def test_dotless_length_drops_one_dot(spark):
 def test_roman(spark):
     assert one(spark, text.roman(F.col("x")), x="19") == "XIX"
     assert one(spark, text.roman(F.col("x")), x="31") is None
+    assert one(spark, text.roman(F.col("x")), x="Neoplasms") is None
 
 
 def test_trim_and_tags(spark):
