@@ -110,7 +110,7 @@ def train(rows: DataFrame, text: str = "text", lang: str = "lang", bits: int = B
     if len(shares) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
     languages = sorted(shares)
-    found = counted.toPandas()
+    found = counted.toArrow().to_pandas()
     counts = np.zeros((len(languages), 1 << bits))
     counts[found["lang"].map({x: i for i, x in enumerate(languages)}).to_numpy(int), found["feature"].to_numpy(int)] = found["n"]
     counts += SMOOTHING

@@ -150,7 +150,7 @@ def _block_counts(rows: DataFrame, hashes: np.ndarray) -> tuple[np.ndarray, int]
             [pa.array(np.append(found, -1)), pa.array(np.append(counts[found], total))], ["term", "n"]
         )
 
-    sums = rows.mapInArrow(work, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toPandas()
+    sums = rows.mapInArrow(work, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow().to_pandas()
     counts = np.zeros(len(hashes), np.int64)
     own = sums[sums["term"] >= 0]
     counts[own["term"].to_numpy()] = own["n"].to_numpy()

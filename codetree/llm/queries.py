@@ -109,7 +109,7 @@ sets AS (
     ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) END) AS s
   FROM words),
 sizes AS (SELECT doc_id, len(s) AS n FROM sets),
-grams AS (SELECT doc_id, unnest(s) AS g FROM sets),
+grams AS (SELECT doc_id, hash(unnest(s)) AS g FROM sets),
 common AS (
   SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c
   FROM grams x JOIN grams y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY ALL),

@@ -54,7 +54,7 @@ def filter_bits(df: DataFrame, key: str) -> np.ndarray:
         df.select((place / 64).cast("long").alias("word"), F.expr("shiftleft(1L, cast(pmod(`%s`, 64) as int))" % key).alias("bit"))
         .groupBy("word")
         .agg(F.bit_or("bit").alias("bits"))
-        .toPandas()
+        .toArrow().to_pandas()
     )
     out = np.zeros(FILTER_BITS // 64, np.int64)
     out[words["word"].to_numpy()] = words["bits"].to_numpy()
