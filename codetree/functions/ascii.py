@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 SINGLE = {
     "ø": "o", "đ": "d", "ð": "d", "ł": "l", "ŀ": "l", "ħ": "h", "ı": "i", "ĸ": "q", "ŋ": "n", "ŧ": "t", "ſ": "s",
     "Ø": "O", "Đ": "D", "Ð": "D", "Ł": "L", "Ŀ": "L", "Ħ": "H", "Ŋ": "N", "Ŧ": "T",
+    "ƒ": "f", "Ɓ": "B", "ɓ": "b", "Ɗ": "D", "ɗ": "d", "ƙ": "k", "ƚ": "l", "ƞ": "n", "Ɵ": "O", "ƥ": "p", "ƫ": "t", "ƭ": "t",
+    "Ʋ": "V", "ƶ": "z", "Ƶ": "Z", "ǥ": "g", "Ǥ": "G", "ȷ": "j", "ȡ": "d", "ȴ": "l", "ȵ": "n", "ȶ": "t",
     "‘": "'", "’": "'", "‚": ",", "‹": "<", "›": ">", "“": '"', "”": '"',
     "‐": "-", "‑": "-", "‒": "-", "–": "-", "—": "-", "−": "-", "×": "*", "÷": "/", "\u00a0": " ",
 }
@@ -19,6 +21,9 @@ SINGLE = {
 MULTIPLE = {
     "ß": "ss", "æ": "ae", "œ": "oe", "þ": "th", "ĳ": "ij", "ŉ": "'n",
     "Æ": "AE", "Œ": "OE", "Þ": "TH", "Ĳ": "IJ",
+    "ǆ": "dz", "ǉ": "lj", "ǌ": "nj", "ǳ": "dz", "Ǆ": "DZ", "Ǉ": "LJ", "Ǌ": "NJ", "Ǳ": "DZ",
+    "ﬀ": "ff", "ﬁ": "fi", "ﬂ": "fl", "ﬃ": "ffi", "ﬄ": "ffl", "ﬅ": "st", "ﬆ": "st",
+    "¼": " 1/4", "½": " 1/2", "¾": " 3/4", "©": "(C)", "®": "(R)",
     "„": ",,", "«": "<<", "»": ">>", "…": "...",
 }
 
@@ -31,18 +36,29 @@ def _single_pairs() -> dict[str, str]:
     for first, end in RANGES:
         for char in map(chr, range(first, end)):
             base = unicodedata.normalize("NFD", char)[0]
-            if base != char and base.isascii():
-                pairs[char] = base
+            if base != char and (base.isascii() or base in SINGLE):
+                pairs[char] = SINGLE.get(base, base)
+    return pairs
+
+
+def _multiple_pairs() -> dict[str, str]:
+    pairs = dict(MULTIPLE)
+    for first, end in RANGES:
+        for char in map(chr, range(first, end)):
+            base = unicodedata.normalize("NFD", char)[0]
+            if base != char and base in MULTIPLE:
+                pairs[char] = MULTIPLE[base]
     return pairs
 
 
 _PAIRS = _single_pairs()
+_SPELLED = _multiple_pairs()
 
 
 def to_ascii(col: Column) -> Column:
     """Replace Latin letters with diacritics and typographic signs by ASCII."""
     single = F.translate(col, "".join(_PAIRS.keys()), "".join(_PAIRS.values()))
-    pairs = F.array(*[F.struct(F.lit(a).alias("char"), F.lit(b).alias("text")) for a, b in MULTIPLE.items()])
+    pairs = F.array(*[F.struct(F.lit(a).alias("char"), F.lit(b).alias("text")) for a, b in _SPELLED.items()])
     spelled = F.aggregate(pairs, single, lambda text, pair: F.replace(text, pair["char"], pair["text"]))
     plain = F.regexp_replace(spelled, r"(?<=[A-Za-z0-9])\p{Mn}+", "")
     # Most texts are ASCII already: as many bytes as characters.

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Sequence
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -28,3 +31,10 @@ def pad_code(code: Column, width: int = 7, filler: str = "X") -> Column:
 
 def prefix(code: Column, n: int) -> Column:
     return F.substring(code, 1, n)
+
+
+def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on ``keys`` where null equals null; the keys come out once, from the left."""
+    renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    same = reduce(lambda a, b: a & b, [left[k].eqNullSafe(renamed[f"_right_{k}"]) for k in keys])
+    return left.join(renamed, same, how).drop(*[f"_right_{k}" for k in keys])

@@ -10,21 +10,22 @@ from codetree.functions.stopwords import description_stop_words
 # The elements that mark revisions inside mixed text.
 REVISION_TAGS = ("diff", "new", "old", "unc")
 
-# The numerals of chapter numbers.
+# The numerals of each decimal place.
 ROMAN = (
-    "I II III IV V VI VII VIII IX X XI XII XIII XIV XV XVI XVII XVIII XIX XX "
-    "XXI XXII XXIII XXIV XXV XXVI XXVII XXVIII XXIX XXX"
-).split()
-
+    ("", "M", "MM", "MMM"),
+    ("", "C", "CC", "CCC", "CD", "D", "DC", "DCC", "DCCC", "CM"),
+    ("", "X", "XX", "XXX", "XL", "L", "LX", "LXX", "LXXX", "XC"),
+    ("", "I", "II", "III", "IV", "V", "VI", "VII", "VIII", "IX"),
+)
+_NUMERAL = "^(?=.)M{0,3}(CM|CD|D?C{0,3})(XC|XL|L?X{0,3})(IX|IV|V?I{0,3})$"
 
 # The characters that trimming removes.
 BLANKS = " \t\r\n"
 
 
 def trim_ws(col: Column) -> Column:
-    """Text without blanks at its ends; only texts that have some are rebuilt."""
-    blank_end = F.rlike(col, F.lit(f"^[{BLANKS}]|[{BLANKS}]$"))
-    return F.when(blank_end, F.btrim(col, F.lit(BLANKS))).otherwise(col)
+    """Text without blanks at its ends."""
+    return F.btrim(col, F.lit(BLANKS))
 
 
 def squeeze(col: Column) -> Column:
@@ -44,10 +45,14 @@ def replace_first(col: Column, pattern: str, replacement: str) -> Column:
 
 
 def roman(col: Column) -> Column:
-    """Roman numeral of 1..30; null for anything else."""
-    numerals = F.array(*[F.lit(r) for r in ROMAN])
-    n = col.try_cast("int")
-    return F.when(n.between(1, len(ROMAN)), F.element_at(numerals, n))
+    """Roman numeral of 1..3999, in upper case where it is one already; null for anything else."""
+    text = F.upper(F.btrim(col.cast("string")))
+    n = text.try_cast("int")
+    places = [
+        F.element_at(F.array(*[F.lit(r) for r in place]), (F.floor(n / 10**power) % 10 + 1).cast("int"))
+        for power, place in zip((3, 2, 1, 0), ROMAN)
+    ]
+    return F.when(n.between(1, 3999), F.concat(*places)).when(F.rlike(text, F.lit(_NUMERAL)), text)
 
 
 def _without_commas(col: Column) -> Column:

@@ -8,25 +8,22 @@ from pyspark.sql import functions as F
 from codetree.functions.text import tokens
 from codetree.operators.levels import char_positions
 from codetree.operators.ordered import fill_down
-from codetree.staging import spread, stage
+from codetree.staging import stage
 
 
 def tokenize(df: DataFrame, text: str = "description", stop_words: list[str] | None = None) -> DataFrame:
     """One row per word of ``text`` with its position from 1; other columns stay."""
     keep = [c for c in df.columns if c != text]
-    return spread(df).select(
+    return df.select(
         *keep, F.posexplode(tokens(F.col(text), stop_words)).alias("pos", "word")
     ).select(*keep, (F.col("pos") + 1).alias("ord"), "word")
 
 
-def _most_frequent(counts: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, word): the words with the highest count of their group, ties included."""
+def _most_frequent(rest: DataFrame, keys: list[str], label: str) -> DataFrame:
+    """(keys, word): the words with the highest count of their group, ties included; staged."""
+    counts = stage(rest.groupBy(*keys, "word").agg(F.sum("n").alias("n")), f"counts-{label}")
     highest = counts.groupBy(*keys).agg(F.max("n").alias("n"))
-    return counts.join(highest, [*keys, "n"]).select(*keys, "word")
-
-
-def _count(counts: DataFrame, keys: list[str]) -> DataFrame:
-    return counts.groupBy(*keys, "word").agg(F.sum("n").alias("n"))
+    return stage(counts.join(highest, [*keys, "n"]).select(*keys, "word"), f"words-{label}")
 
 
 def _phrase(words: DataFrame, keys: list[str], name: str) -> DataFrame:
@@ -43,38 +40,24 @@ def phrase_mine(
     without the words of the shorter prefixes; prefixes are taken in the order
     5, 6, 8, 7, where 8 means the 5-character prefix plus the 8th character.
 
-    Words are counted per code once. Each level first counts per group and only
-    then removes the words already used, so at most the codes one or two
-    characters apart meet on one key, however frequent a word or prefix is.
+    Words are counted per code once. What a level uses is taken out of the rest once,
+    and the next level counts what is left, so a level costs one aggregate and one anti-join.
     """
     words = tokenize(df.select(code, text), text, stop_words)
     base = stage(words.groupBy(F.col(code).alias("code"), "word").agg(F.count(F.lit(1)).alias("n")), "words")
     base = char_positions(base).withColumnRenamed("D4", "char_8")
 
     k5, k6, k7, k8 = ["code_5"], ["code_6"], ["code_7"], ["code_5", "char_8"]
-    w5 = stage(_most_frequent(_count(base, k5), k5), "words-5")
-
-    left_6 = _count(base, ["code_5", "code_6"]).join(w5, ["code_5", "word"], "left_anti")
-    w6 = stage(_most_frequent(left_6.drop("code_5"), k6), "words-6")
-
-    left_8 = (
-        _count(base, ["code_5", "code_6", "char_8"])
-        .join(w5, ["code_5", "word"], "left_anti")
-        .join(w6, ["code_6", "word"], "left_anti")
-    )
-    w8 = stage(_most_frequent(_count(left_8, k8), k8), "words-8")
-
-    left_7 = (
-        _count(base, ["code_5", "code_6", "code_7", "char_8"])
-        .join(w5, ["code_5", "word"], "left_anti")
-        .join(w6, ["code_6", "word"], "left_anti")
-        .join(w8, ["code_5", "char_8", "word"], "left_anti")
-    )
-    w7 = _most_frequent(_count(left_7, k7), k7)
+    rest = base.select("code_5", "code_6", "code_7", "char_8", "word", "n")
+    found = {}
+    for level, keys in ((5, k5), (6, k6), (8, k8), (7, k7)):
+        found[level] = _most_frequent(rest, keys, str(level))
+        if level != 7:
+            rest = stage(rest.join(found[level], [*keys, "word"], "left_anti"), f"rest-{level}")
 
     codes = base.select("code", "code_5", "code_6", "code_7", "char_8").distinct()
-    for level, keys, found in ((5, k5, w5), (6, k6, w6), (7, k7, w7), (8, k8, w8)):
-        codes = codes.join(_phrase(found, keys, f"c{level}_phrase"), keys, "left")
+    for level, keys in ((5, k5), (6, k6), (7, k7), (8, k8)):
+        codes = codes.join(_phrase(found[level], keys, f"c{level}_phrase"), keys, "left")
     return codes.select("code", *[f"c{n}_phrase" for n in (5, 6, 7, 8)])
 
 

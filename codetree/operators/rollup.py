@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from codetree.functions.codes import prefix
+from codetree.functions.codes import join_null_safe, prefix
 from codetree.staging import stage
 
+# Long codes climb in parts, so that no plan grows with their length.
+_STEPS_PER_STAGE = 8
+
 
 def rollup_map(
     df: DataFrame,
@@ -27,7 +29,8 @@ def rollup_map(
     From the longest prefix down, a prefix with at least ``threshold`` rows that
     no longer prefix has claimed becomes a group; whatever is left at
     ``min_len`` becomes one as well. ``n`` counts the claimed rows. Null codes
-    are dropped. ``max_len`` is the length of the longest code; it is looked up
+    are dropped; null ``by`` keys are groups of their own. Where all codes are shorter than
+    ``min_len`` the result is empty. ``max_len`` is the length of the longest code; it is looked up
     when not given. ``weight`` names a column with the rows each input row
     stands for, when rows have been counted before.
 
@@ -49,25 +52,28 @@ def rollup_map(
         empty = counts.limit(0).withColumns({"shorten": F.lit(""), "n": F.lit(0).cast("long")})
         return empty
     lengths = range(max_len, min_len - 1, -1)
-    open_prefixes = counts.select(*keys, F.col("field").alias("shorten"), F.col("rows").alias("n"))
-    groups = []
-    for length in lengths:
-        totals = (
-            open_prefixes.groupBy(*keys, prefix(F.col("shorten"), length).alias("shorten"))
+    # One table climbs: a prefix is cut until a length claims it, and keeps that length.
+    state = counts.select(
+        *keys, F.col("field").alias("shorten"), F.col("rows").alias("n"), F.lit(None).cast("int").alias("length")
+    )
+    for step, length in enumerate(lengths, 1):
+        shorter = F.when(F.col("length").isNull(), prefix(F.col("shorten"), length)).otherwise(F.col("shorten"))
+        large = F.col("n") >= (threshold if length > min_len else 0)
+        state = (
+            state.groupBy(*keys, shorter.alias("shorten"), "length")
             .agg(F.sum("n").alias("n"))
+            .withColumn("length", F.coalesce("length", F.when(large, F.lit(length))))
         )
-        large = F.col("n") >= (threshold if length > min_len else 0)
-        groups.append(totals.filter(large).withColumn("length", F.lit(length)))
-        open_prefixes = totals.filter(~large)
-    found = reduce(DataFrame.unionByName, groups)
+        if step % _STEPS_PER_STAGE == 0:
+            state = stage(state, "prefixes")
 
-    steps = F.array(*[F.lit(n) for n in lengths])
+    steps = F.array(*[F.lit(n) for n in lengths]) if len(lengths) == 1 else F.sequence(F.lit(max_len), F.lit(min_len))
     candidates = counts.select("*", F.explode(steps).alias("length")).withColumn(
         "shorten", F.substring("field", F.lit(1), F.col("length"))
     )
     group = F.max_by(F.struct("shorten", "n"), "length").alias("group")
     mapped = (
-        candidates.join(found, [*keys, "length", "shorten"])
+        join_null_safe(candidates, state, [*keys, "length", "shorten"])
         .groupBy(*keys, "field", "rows")
         .agg(group)
         .select(*keys, "field", "rows", "group.*")
@@ -82,7 +88,7 @@ def prefix_rollup(
 ) -> DataFrame:
     """(by, field, shorten, n), one row per input row with a code."""
     groups = rollup_map(df, field, threshold, by=by, **options).drop("rows")
-    return df.select(*by, F.col(field).alias("field")).join(groups, [*by, "field"])
+    return join_null_safe(df.select(*by, F.col(field).alias("field")), groups, [*by, "field"])
 
 
 def rollup_enrich(
@@ -91,26 +97,27 @@ def rollup_enrich(
     subject: str = "custkey",
     day: str = "day",
     threshold: int = 20,
+    by: Sequence[str] = (),
     **options,
 ) -> DataFrame:
-    """Facts per rolled-up group: rows, distinct subjects, first and last day.
+    """Facts per rolled-up group, of each ``by`` if given: rows, distinct subjects, first and last day.
 
     Facts are read once and shrink to one row per code and subject. The roll-up
     counts from there, and no code, however frequent, has to be moved row by row.
     """
     per_subject = stage(
         df.filter(F.col(field).isNotNull())
-        .groupBy(F.col(field).alias("field"), F.col(subject).alias("subject"))
+        .groupBy(*by, F.col(field).alias("field"), F.col(subject).alias("subject"))
         .agg(F.count(F.lit(1)).alias("rows"), F.min(day).alias("first"), F.max(day).alias("last")),
         "subjects",
     )
-    groups = rollup_map(per_subject, threshold=threshold, weight="rows", **options).select("field", "shorten")
+    groups = rollup_map(per_subject, threshold=threshold, by=by, weight="rows", **options)
     per_group_subject = (
-        per_subject.join(groups, "field")
-        .groupBy("shorten", "subject")
+        join_null_safe(per_subject, groups.select(*by, "field", "shorten"), [*by, "field"])
+        .groupBy(*by, "shorten", "subject")
         .agg(F.sum("rows").alias("rows"), F.min("first").alias("first"), F.max("last").alias("last"))
     )
-    return per_group_subject.groupBy("shorten").agg(
+    return per_group_subject.groupBy(*by, "shorten").agg(
         F.sum("rows").alias("n_rows"),
         F.count("subject").alias("n_subjects"),
         F.min("first").alias("first_day"),

@@ -90,7 +90,8 @@ def hierarchy(
     """
     # A code given twice in the same words counts once.
     nodes = stage(nodes.groupBy("year", "code", "desc").agg(F.max("depth").alias("depth")), "nodes")
-    leaves = stage(level_texts(leaf_table(nodes), missing), "leaves")
+    # Descriptions that differ only in case or accents have become equal.
+    leaves = stage(level_texts(leaf_table(nodes), missing).distinct(), "leaves")
     extended = stage(apply_rules(leaves, rule_mentions(rules), unique_leaves=True), "extended")
     built = stage(describe(range_assign(extended, chapters, sections)), "built")
     day = F.current_date() if update_date is None else F.lit(update_date)

@@ -22,7 +22,7 @@ from codetree.plans.hierarchy import DIFFS, RANGE_COLUMNS, derived_parents, desc
 from codetree.plans.phrase_table import listed_codes, phrase_table
 from codetree.plans.views import view
 from codetree.sources.tabular_xml import ROOT_TAG, node_table, parse_documents
-from codetree.staging import spread, stage
+from codetree.staging import stage
 
 THRESHOLD = 40
 UPDATE_DATE = date(2025, 1, 1)
@@ -94,7 +94,7 @@ def q_coverage_gap(spark: SparkSession, d: str) -> DataFrame:
         .distinct()
     )
     built = view(spark, d, "nodes").select(F.col("code").alias("icd10_code"))
-    return coverage_gap(official, built, pattern=r"^P\d\d\.")
+    return coverage_gap(official, built, pattern=r"^[PQR]\d\d\.")
 
 
 @query
@@ -160,7 +160,7 @@ def q_text_diff_documents(spark: SparkSession, d: str) -> DataFrame:
     """Words of a document that the document numbered before it lacks."""
     texts = view(spark, d, "listing").select("doc_id", "description")
     before = texts.select((F.col("doc_id") + 1).alias("doc_id"), F.col("description").alias("reference"))
-    return spread(texts).join(before, "doc_id", "left").select(
+    return texts.join(before, "doc_id", "left").select(
         "doc_id", word_diff(F.col("description"), F.col("reference")).alias("diff")
     )
 
@@ -216,8 +216,7 @@ def q_xml_nodes(spark: SparkSession, d: str) -> DataFrame:
 @query
 def q_neighbour_diff(spark: SparkSession, d: str) -> DataFrame:
     """Part names against the next code's, in the 5-character group and 8th character, then in the group."""
-    nodes = view(spark, d, "nodes").filter(F.length("code") >= 7)
-    rows = nodes.select(
+    rows = view(spark, d, "nodes").select(
         "year",
         "code",
         F.array_join(tokens(F.col("desc")), " ").alias("search_base"),

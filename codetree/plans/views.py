@@ -3,7 +3,7 @@
 The sample tables hold no classification codes, so parts play codes, line items
 play visits, regions and nations play chapters and sections, documents play the
 described code list and events play the flattened export. Every view reads its
-tables in full.
+tables in full. Every part up to number 46,655 has a code of its own; later ones lack the fourth character.
 """
 
 from __future__ import annotations
@@ -19,8 +19,10 @@ TABLES = (
 
 _PART_CODES = """
 SELECT p_partkey, p_size, p_type, p_name, p_brand,
-       'P' || lpad(cast(p_size AS string), 2, '0') || '.'
-           || lpad(cast(p_partkey % 1000 AS string), 3, '0') AS code
+       substr('PQR', cast(p_partkey % 3 AS int) + 1, 1) || lpad(cast(p_size AS string), 2, '0') || '.'
+           || substr('0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ', cast(floor(p_partkey / 1296) AS int) + 1, 1)
+           || substr('0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ', cast(floor(p_partkey / 36) AS int) % 36 + 1, 1)
+           || substr('0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ', cast(p_partkey % 36 AS int) + 1, 1) AS code
 FROM {part}
 """
 
@@ -146,7 +148,7 @@ FROM {{documents}}
     # Events as lines of a flattened export: one value per line, some lines empty.
     "export": """
 SELECT event_id AS row_id,
-       CASE WHEN user_id % 16 = 0 THEN cast(user_id % 32 AS string) END AS name0,
+       CASE WHEN user_id % 16 = 0 THEN cast(user_id % 4000 AS string) END AS name0,
        CASE WHEN user_id % 16 = 1 THEN event_type || ' chapter' END AS desc0,
        CASE WHEN user_id % 16 = 2 THEN 'R' || cast(user_id AS string) END AS id6,
        CASE WHEN user_id % 16 = 3 THEN event_type || ' region' END AS desc7,

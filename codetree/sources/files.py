@@ -9,26 +9,37 @@ from pyspark.sql import types as T
 CODE_LIST_SCHEMA = "icd10_code string, description string"
 
 
-def _delimited(spark: SparkSession, path: str, schema: str, sep: str, header: bool) -> DataFrame:
+def _delimited(
+    spark: SparkSession, path: str, schema: str, sep: str, header: bool, multi_line: bool
+) -> DataFrame:
     return (
         spark.read.option("header", header)
         .option("sep", sep)
         .option("quote", '"')
         .option("escape", '"')
-        .option("multiLine", False)
+        .option("multiLine", multi_line)
         .option("nullValue", "")
         .schema(schema)
         .csv(path)
     )
 
 
-def read_csv(spark: SparkSession, path: str, schema: str, header: bool = True) -> DataFrame:
-    """Comma-separated text; an empty field is null."""
-    return _delimited(spark, path, schema, ",", header)
+def read_csv(
+    spark: SparkSession, path: str, schema: str, header: bool = True, multi_line: bool = True
+) -> DataFrame:
+    """Comma-separated text; an empty field is null.
 
+    Fields in quotes can hold line breaks, as spreadsheet exports have them. Then a
+    file is read by one task; ``multi_line=False`` splits large files without such fields.
+    """
+    return _delimited(spark, path, schema, ",", header, multi_line)
 
-def read_tsv(spark: SparkSession, path: str, schema: str, header: bool = True) -> DataFrame:
-    return _delimited(spark, path, schema, "\t", header)
+
+def read_tsv(
+    spark: SparkSession, path: str, schema: str, header: bool = True, multi_line: bool = True
+) -> DataFrame:
+    """Tab-delimited text, otherwise as ``read_csv``."""
+    return _delimited(spark, path, schema, "\t", header, multi_line)
 
 
 def read_fixed_width(spark: SparkSession, path: str, fields: dict[str, int]) -> DataFrame:
@@ -64,19 +75,25 @@ def missing_releases(releases: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def _write_csv(df: DataFrame, path: str, by: list[str], mode: str) -> None:
-    writer = df.write.mode(mode).partitionBy(*by) if by else df.write.mode(mode)
+    writer = df.write.mode(mode)
+    if by:
+        writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*by)
     writer.option("header", True).option("nullValue", "").option("emptyValue", "").option(
         "escape", '"'
     ).csv(path)
 
 
 def write_hierarchy(df: DataFrame, path: str, file_format: str = "parquet", mode: str = "overwrite") -> None:
-    """Hierarchy table, a folder per year, ordered by code inside each file."""
+    """Hierarchy table, a folder per year, ordered by code inside each file.
+
+    Overwriting replaces the years that ``df`` has and leaves all others. Rows of a
+    CSV file hold their ``year`` as well; its folders are named ``release=``.
+    """
     ordered = df.repartitionByRange("year", "icd10_code").sortWithinPartitions("year", "icd10_code")
     if file_format == "csv":
-        _write_csv(ordered, path, ["year"], mode)
+        _write_csv(ordered.withColumn("release", F.col("year")), path, ["release"], mode)
     else:
-        ordered.write.mode(mode).partitionBy("year").parquet(path)
+        ordered.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("year").parquet(path)
 
 
 def write_phrases(df: DataFrame, path: str, mode: str = "overwrite") -> None:

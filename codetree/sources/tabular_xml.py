@@ -17,12 +17,15 @@ from codetree.staging import stage
 
 ROOT_TAG = "ICD10CM.tabular"
 CORRUPT = "_corrupt_record"
-# Codes have three to seven characters, one level of nesting for each.
+# The last folder name that holds a year.
+FOLDER_YEAR = r"^.*(?<!\d)((?:19|20)\d{2})(?!\d)[^/]*/[^/]*$"
+# Levels of nesting read at a time: codes have three to seven characters, one level for
+# each. What is nested deeper comes as raw text and is parsed in turn.
 DIAG_DEPTH = 5
 
 
 def _diag_schema(depth: int) -> str:
-    nested = f", diag: array<{_diag_schema(depth - 1)}>" if depth > 1 else ""
+    nested = f", diag: array<{_diag_schema(depth - 1) if depth > 1 else 'string'}>"
     return (
         "struct<name: string, desc: string, _placeholder: string, "
         "sevenChrNote: array<struct<note: array<string>>>, "
@@ -49,8 +52,9 @@ def read_releases(
 ) -> tuple[DataFrame, DataFrame]:
     """All release files below ``path``: (documents, quarantined files).
 
-    The year comes from the file name, else from the version element. A file that does not parse lands in the
-    second frame with its text and leaves the others alone. The parsed files are
+    The year comes from the file name, else from the version element, else from the
+    folder. A file that does not parse, that has no year, or whose year an earlier file (by name) has as well lands in
+    the second frame, ``(year, file, text, reason)``, and leaves the others alone. The parsed files are
     staged, since every later operator starts from them.
     """
     raw = stage(
@@ -65,13 +69,23 @@ def read_releases(
         .withColumn(
             "year",
             F.coalesce(
-                F.regexp_extract("file", year_pattern, 1).try_cast("int"), F.col("version").try_cast("int")
+                F.regexp_extract("file", year_pattern, 1).try_cast("int"),
+                F.col("version").try_cast("int"),
+                F.regexp_extract("file", FOLDER_YEAR, 1).try_cast("int"),
             ),
         ),
         "releases",
     )
-    good = raw.filter(F.col(CORRUPT).isNull()).select("year", "file", "version", "chapter")
-    bad = raw.filter(F.col(CORRUPT).isNotNull()).select("year", "file", F.col(CORRUPT).alias("text"))
+    parsed = raw.filter(F.col(CORRUPT).isNull() & F.col("year").isNotNull())
+    first = parsed.groupBy(F.col("year").alias("_year")).agg(F.min("file").alias("_first"))
+    marked = raw.join(first, F.col("year") == F.col("_year"), "left").withColumn(
+        "reason",
+        F.when(F.col(CORRUPT).isNotNull(), "not parsed")
+        .when(F.col("year").isNull(), "no year")
+        .when(F.col("file") != F.col("_first"), "another file of the year"),
+    )
+    good = marked.filter(F.col("reason").isNull()).select("year", "file", "version", "chapter")
+    bad = marked.filter(F.col("reason").isNotNull()).select("year", "file", F.col(CORRUPT).alias("text"), "reason")
     return good, bad
 
 
@@ -127,7 +141,8 @@ def section_ranges(docs: DataFrame) -> DataFrame:
 
 
 def _node_fields(diag: str) -> dict[str, Column]:
-    notes = F.flatten(F.transform(f"{diag}.sevenChrNote", lambda n: n["note"]))
+    given = F.array_compact(F.transform(f"{diag}.sevenChrNote", lambda n: n["note"]))
+    notes = F.array_compact(F.flatten(given))
     return {
         "code": strip_revision_tags(F.col(f"{diag}.name")),
         "desc": strip_revision_tags(F.col(f"{diag}.desc")),
@@ -139,11 +154,13 @@ def _node_fields(diag: str) -> dict[str, Column]:
 def node_table(docs: DataFrame) -> DataFrame:
     """(year, path, depth, code, desc, note, definitions), one row per code element.
 
-    A single chain of explodes: each step turns a node into itself (position 0)
+    A chain of explodes: each step turns a node into itself (position 0)
     and its children, and carries only the children on to the next step.
+    Elements nested deeper than the schema are parsed from their text, as many
+    levels again each time, until none are left; looking for them runs a job.
     ``definitions`` holds the raw 7th-character definitions.
     """
-    nodes = (
+    top = (
         _section_rows(docs)
         .select("year", "chapter_pos", "section_pos", F.posexplode("section.diag").alias("pos", "diag"))
         .select(
@@ -154,7 +171,34 @@ def node_table(docs: DataFrame) -> DataFrame:
             F.col("diag.diag").alias("children"),
         )
     )
-    for depth in range(2, DIAG_DEPTH + 1):
+    nodes = _family(top)
+    out = nodes.drop("children")
+    deeper = nodes.filter(F.size("children") > 0)
+    while not deeper.isEmpty():
+        each = stage(deeper, "deeper").select(
+            "year", "path", "depth", F.posexplode("children").alias("pos", "raw")
+        )
+        whole = F.concat(F.lit("<diag>"), "raw", F.lit("</diag>"))
+        parsed = each.withColumn(
+            "diag", F.from_xml(whole, T.StructType.fromDDL(f"d {_diag_schema(DIAG_DEPTH)}")["d"].dataType, {"rowTag": "diag"})
+        )
+        nodes = _family(
+            parsed.select(
+                "year",
+                F.array_append("path", F.col("pos")).alias("path"),
+                (F.col("depth") + 1).alias("depth"),
+                *[c.alias(n) for n, c in _node_fields("diag").items()],
+                F.col("diag.diag").alias("children"),
+            )
+        )
+        out = out.unionByName(nodes.drop("children"))
+        deeper = nodes.filter(F.size("children") > 0)
+    return out
+
+
+def _family(nodes: DataFrame) -> DataFrame:
+    """The nodes and all below them that the schema covers; ``children`` of the deepest are raw text."""
+    for level in range(2, DIAG_DEPTH + 1):
         itself = F.array(F.lit(None))
         family = F.coalesce(F.concat(itself, "children"), itself)
         fields = _node_fields("child")
@@ -164,9 +208,9 @@ def node_table(docs: DataFrame) -> DataFrame:
         ).select(
             "year",
             F.when(is_child, F.array_append("path", F.col("pos") - 1)).otherwise(F.col("path")).alias("path"),
-            F.when(is_child, F.lit(depth)).otherwise(F.col("depth")).alias("depth"),
+            F.when(is_child, F.col("depth") + 1).otherwise(F.col("depth")).alias("depth"),
             *[F.when(is_child, c).otherwise(F.col(n)).alias(n) for n, c in fields.items()],
-            *([F.col("child.diag").alias("children")] if depth < DIAG_DEPTH else []),
+            F.col("child.diag").alias("children"),
         )
     return nodes
 

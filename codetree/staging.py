@@ -52,12 +52,3 @@ def drop_staged(spark: SparkSession) -> None:
     folder = spark._jvm.org.apache.hadoop.fs.Path(_session_folder(spark))
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
-
-def spread(df: DataFrame) -> DataFrame:
-    """Deal rows out to all cores when the input has fewer files than there are cores.
-
-    For work that is heavy per row, such as cutting texts into words. Inputs with
-    many files are left alone: their scan is parallel enough without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if 0 < len(df.inputFiles()) < cores else df

@@ -3,7 +3,7 @@ from datetime import date
 import pytest
 
 from codetree.operators.quality import code_quality
-from codetree.plans.hierarchy import OUTPUT, hierarchy_from_releases
+from codetree.plans.hierarchy import OUTPUT, hierarchy, hierarchy_from_releases
 from codetree.sources import tabular_xml as xml
 from codetree.staging import stage
 from tests import releases
@@ -100,3 +100,10 @@ def test_explicit_orphan_has_missing_text(spark):
     built = {r.icd10_code: r for r in hierarchy(nodes, empty, empty, rules).collect()}
     assert built["Q10.1234"].description == "na lone end"
     assert built["Q10.123"].derived_code_ind == 1
+
+
+def test_descriptions_equal_but_for_case_and_accents(spark):
+    docs = spark.createDataFrame([(7, 1, "L20", "Ménière"), (7, 1, "L20", "MENIERE")], "year int, depth int, code string, desc string")
+    empty = spark.createDataFrame([], "year int, ord int, desc string")
+    rules = spark.createDataFrame([], "year int, ord int, name string, note string, char string, text string")
+    assert hierarchy(docs, empty, empty, rules).count() == 1

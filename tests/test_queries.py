@@ -1,16 +1,22 @@
-"""Every registered query against its SQL, and the shape of the plans."""
+"""Every registered query against its SQL, and the shape of the plans, staged parts included."""
+
+import sys
+from collections import Counter
 
 import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from codetree.plans import oracle
+from codetree import staging
 from codetree.operators.ordered import fill_down
 from codetree.operators.rollup import prefix_rollup
-from codetree.plans.queries import THRESHOLD
+from codetree.plans.queries import QUERIES, THRESHOLD
 from codetree.plans.views import TABLES, view
+from tests.test_rollup import loop
 
 SF = "/root/testdata/sf0.001"
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+SQL = oracle.oracle_sql()
 KINDS = {"int": "INTEGER", "bigint": "BIGINT", "string": "VARCHAR", "date": "DATE"}
 
 
@@ -29,18 +35,26 @@ def normal(rows, names):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
-def test_query(spark, duck, name):
+def test_query(spark, duck, name, monkeypatch):
+    staged = []
+
+    def noted(df, label, stage=staging.stage):
+        staged.append(df._jdf.queryExecution().executedPlan().toString())
+        return stage(df, label)
+
+    for module in [m for n, m in sys.modules.items() if n.startswith("codetree.") and hasattr(m, "stage")]:
+        monkeypatch.setattr(module, "stage", noted)
     df = QUERIES[name](spark, SF)
     result = duck.sql(SQL[name])
     types = dict(zip(result.columns, map(str, result.types)))
     assert {f.name: KINDS[f.dataType.simpleString()] for f in df.schema} == types
     assert normal(df.collect(), df.columns) == normal(result.fetchall(), result.columns)
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
-    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    for plan in [*staged, df._jdf.queryExecution().executedPlan().toString()]:
+        assert "Python" not in plan and "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
 def test_entry_has_rows(spark):
@@ -48,10 +62,13 @@ def test_entry_has_rows(spark):
 
 
 def test_rollup_by_length(spark):
-    """Codes resolved per length at sf0.01, as counted by a plain loop over the codes."""
-    rolled = prefix_rollup(view(spark, "/root/testdata/sf0.01", "visit_codes"), threshold=THRESHOLD).distinct()
+    """Codes resolved per length at sf0.01, against a plain loop over the codes."""
+    codes = view(spark, "/root/testdata/sf0.01", "visit_codes")
+    fields = [r[0] for r in codes.collect()]
+    want = Counter(len(shorten) for shorten, _ in loop(fields, THRESHOLD).values())
+    rolled = prefix_rollup(codes, threshold=THRESHOLD).distinct()
     sizes = rolled.selectExpr("length(shorten) AS l").groupBy("l").count().collect()
-    assert {r["l"]: r["count"] for r in sizes} == {7: 98, 6: 524, 5: 1283, 4: 63, 3: 18}
+    assert {r["l"]: r["count"] for r in sizes} == want and len(want) > 2
 
 
 def test_facts_are_not_shuffled_to_meet_their_groups(spark):

@@ -54,6 +54,23 @@ def test_equals_the_loop(spark, seed):
     assert len(got) == len(set(fields))
 
 
+def fast_loop_sizes(fields, threshold):
+    return {f: s for f, (s, _) in loop(fields, threshold).items()}
+
+
+def test_long_codes(spark):
+    fields = ["A" * 200, "A" * 199 + "B", "A" * 60 + "C", "B" * 18]
+    got = {r.field: r.shorten for r in rollup_map(frame(spark, fields), threshold=2).collect()}
+    assert got == fast_loop_sizes(fields, 2)
+
+
+def test_null_keys_keep_their_rows(spark):
+    df = spark.createDataFrame([(None, "A10.1", 7, 1), (None, "A10.1", 8, 2), (1, "A10.1", 7, 3)], "year int, field string, custkey int, day int")
+    assert prefix_rollup(df, threshold=2, by=["year"]).count() == 3
+    got = {tuple(r) for r in rollup_enrich(df, threshold=2, by=["year"]).collect()}
+    assert got == {(None, "A10.1", 2, 2, 1, 2), (1, "A10", 1, 1, 3, 3)}
+
+
 def test_groups_by_key(spark):
     rows = [(1, "A10.1")] * 2 + [(2, "A10.1"), (2, "A10.2")]
     df = spark.createDataFrame(rows, "year int, field string")

@@ -110,3 +110,9 @@ def test_interval_takes_the_narrowest(spark):
     )
     got = {r.icd10_code: r.id for r in range_assign_interval(codes, ranges).collect()}
     assert got == {"A10.1": "again", "B20": "wide", "C1": None}
+
+
+def test_summary_keeps_rules_without_a_note(spark):
+    rules = spark.createDataFrame([(7, 1, "L20", None, "A", "x"), (7, 2, "L21", "to L21", "B", "y")], "year int, ord int, name string, note string, char string, text string")
+    got = {tuple(r) for r in rule_summary(rule_mentions(rules)).collect()}
+    assert got == {(7, None, 1, "NA", "A"), (7, "to L21", 1, "L21", "B")}

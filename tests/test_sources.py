@@ -81,6 +81,61 @@ def test_delimited_inputs(spark, tmp_path):
     assert files.official_list(files.read_csv(spark, str(tmp_path / "a.csv"), schema)).columns == ["icd10_code", "description"]
 
 
+def test_line_breaks_inside_quotes(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('code,description\nA00,"two\nlines"\nA01,x\n')
+    rows = files.read_csv(spark, str(tmp_path / "a.csv"), "code string, description string").collect()
+    assert [tuple(r) for r in rows] == [("A00", "two\nlines"), ("A01", "x")]
+
+
+def test_releases_from_files_to_tables(spark, tmp_path):
+    """Several years, one of them by its folder; a file without a year, a second one of a year, a re-run of one year."""
+    def one(code, text, version="x"):
+        return releases.release(version, releases.chapter("1", "Bones (L00-L99)", releases.section("a", "b", releases.diag(code, text))))
+
+    folder = tmp_path / "in"
+    for name, text in {
+        "y2031/Tabular.xml": one("L20", "Ménière"), "tabular_2032.xml": one("L21", "b"), "tabular_2033.xml": one("L22", "c"),
+        "none/Tabular.xml": one("L23", "d"), "z_tabular_2032.xml": one("L24", "e"), "tabular_2034.xml": "<ICD10CM.tabular><version>",
+    }.items():
+        (folder / name).parent.mkdir(parents=True, exist_ok=True)
+        (folder / name).write_text(text)
+    docs, bad = xml.read_releases(spark, str(folder), "*abular*.xml")
+    good_years = {r.year for r in docs.collect()}
+    reasons = {r.file.rpartition("/in/")[2]: r.reason for r in bad.collect()}
+    assert {2032, 2033} <= good_years
+    assert reasons.get("z_tabular_2032.xml") == "another file of the year"
+    docs, bad = xml.read_releases(spark, str(folder / "*"), "Tabular.xml")
+    assert {r.year for r in docs.collect()} == {2031} and [r.reason for r in bad.collect()] == ["no year"]
+
+
+def test_a_year_is_written_again_and_others_stay(spark, tmp_path):
+    schema = "icd10_code string, description string, year int"
+    both = spark.createDataFrame([("A00", "x", 2031), ("A01", "y", 2032)], schema)
+    again = spark.createDataFrame([("A02", "z", 2032)], schema)
+    for kind in ("csv", "parquet"):
+        for df in (both, again):
+            files.write_hierarchy(df, str(tmp_path / kind), kind)
+    assert {(r.year, r.icd10_code) for r in spark.read.parquet(str(tmp_path / "parquet")).collect()} == {(2031, "A00"), (2032, "A02")}
+    assert {(r.year, r.icd10_code) for r in files.read_csv(spark, str(tmp_path / "csv"), schema).collect()} == {(2031, "A00"), (2032, "A02")}
+
+
+def test_elements_nested_deeper_than_a_schema(spark):
+    deep = ""
+    for i in range(13, 0, -1):
+        deep = releases.diag(f"L{i}", f"level {i}", deep, note=f"note {i}")
+    docs = xml.parse_documents(spark.createDataFrame([(7, releases.release("1", releases.chapter("1", "x", releases.section("a", "b", deep))))], "year int, xml string"), "xml", "year")
+    rows = xml.node_table(docs).collect()
+    assert {(r.code, r.depth, r.desc, r.note) for r in rows} == {(f"L{i}", i, f"level {i}", f"note {i}") for i in range(1, 14)}
+    assert {len(r.path) for r in rows} == set(range(3, 16))
+
+
+def test_an_empty_note_does_not_hide_the_next(spark):
+    diag = "<diag><name>L20</name><desc>x</desc><sevenChrNote></sevenChrNote><sevenChrNote><note>to L20</note></sevenChrNote></diag>"
+    text = releases.release("1", releases.chapter("1", "x", releases.section("a", "b", diag)))
+    docs = xml.parse_documents(spark.createDataFrame([(7, text)], "year int, xml string"), "xml", "year")
+    assert [r.note for r in xml.node_table(docs).collect()] == ["to L20"]
+
+
 def test_fixed_width(spark, tmp_path):
     (tmp_path / "a.txt").write_text("A000    Cholera due to x\nA0000000Next\n        \n")
     rows = files.read_code_descriptions(spark, str(tmp_path / "a.txt")).collect()
@@ -91,8 +146,8 @@ def test_writers(spark, tmp_path):
     df = spark.createDataFrame([("A00", None, 2031), ("A01", "x, y", 2032)], "icd10_code string, description string, year int")
     files.write_hierarchy(df, str(tmp_path / "csv"), "csv")
     files.write_hierarchy(df, str(tmp_path / "parquet"))
-    lines = [p.read_text() for p in sorted((tmp_path / "csv").glob("year=*/*.csv"))]
-    assert lines == ["icd10_code,description\nA00,\n", 'icd10_code,description\nA01,"x, y"\n']
+    lines = [p.read_text() for p in sorted((tmp_path / "csv").glob("release=*/*.csv"))]
+    assert lines == ["icd10_code,description,year\nA00,,2031\n", 'icd10_code,description,year\nA01,"x, y",2032\n']
     assert spark.read.parquet(str(tmp_path / "parquet")).filter("year = 2032").count() == 1
     files.write_phrases(df.drop("year"), str(tmp_path / "phrases"))
     assert files.read_csv(spark, str(tmp_path / "phrases"), "icd10_code string, description string").count() == 2

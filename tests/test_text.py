@@ -39,6 +39,10 @@ def test_ascii_lower(spark, raw, want):
     assert one(spark, ascii_lower(F.col("x")), x=raw) == want
 
 
+def test_to_ascii_of_ligatures_and_signs(spark):
+    assert one(spark, to_ascii(F.col("x")), x="ǽǿﬁ½ƒ©") == "aeofi 1/2f(C)"
+
+
 def test_to_ascii_covers_latin_letters(spark):
     letters = "".join(chr(c) for c in range(0x00C0, 0x0180) if chr(c).isalpha())
     assert one(spark, to_ascii(F.col("x")), x=letters).isascii()
@@ -65,7 +69,10 @@ def test_dotless_length_drops_one_dot(spark):
 
 def test_roman(spark):
     assert one(spark, text.roman(F.col("x")), x="19") == "XIX"
-    assert one(spark, text.roman(F.col("x")), x="31") is None
+    assert one(spark, text.roman(F.col("x")), x="31") == "XXXI"
+    assert one(spark, text.roman(F.col("x")), x="3999") == "MMMCMXCIX" and one(spark, text.roman(F.col("x")), x="xiv") == "XIV"
+    assert one(spark, text.roman(F.col("x")), x="4000") is None and one(spark, text.roman(F.col("x")), x="0") is None
+    assert one(spark, text.roman(F.col("x")), x="") is None
     assert one(spark, text.roman(F.col("x")), x="Neoplasms") is None
 
 
