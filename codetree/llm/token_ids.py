@@ -13,13 +13,14 @@ from __future__ import annotations
 import json
 import os
 import re
+import struct
 import unicodedata
 from collections.abc import Iterable
 
 import numpy as np
 
 # Words remembered per worker.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 1_200_000
 
 # The word pattern and normalizers of tokenizers whose words can be cut here.
 _PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -44,6 +45,18 @@ def _byte_letters() -> dict[int, str]:
     return {i: "".join(letter[b] for b in chr(i).encode()) for i in range(256)}
 
 
+class _WordIds(dict):
+    """Ids of words as bytes; a word that is new is asked of the library's model."""
+
+    def __init__(self, model, letter: str):
+        self.model, self.letter, self.letters = model, letter, _byte_letters()
+
+    def __missing__(self, word: str) -> bytes:
+        ids = [t.id for t in self.model.tokenize(word.translate(self.letters))]
+        self[word] = held = struct.pack(f"<{len(ids)}{self.letter}", *ids)
+        return held
+
+
 class TokenIds:
     """Encodes texts with the tokenizer file at ``path``."""
 
@@ -67,8 +80,7 @@ class TokenIds:
             and not spec["model"].get("dropout")
         )
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4")
-        self.letters = _byte_letters()
-        self.known: dict[str, bytes] = {}
+        self.known = _WordIds(self.tokenizer.model, "H" if self.kind.itemsize == 2 else "I")
         self.pieces: dict[str, bytes] = {}
 
     def _library(self, text: str) -> bytes:
@@ -76,17 +88,9 @@ class TokenIds:
 
     def _plain(self, text: str) -> bytes:
         """Ids of a text without characters above U+00FF."""
-        words = _WORDS.findall(text.lower())
-        known = self.known
-        new = [w for w in words if w not in known]
-        if new:
-            if len(known) > CACHE_WORDS:
-                known.clear()
-                new = words
-            model, letters, kind = self.tokenizer.model, self.letters, self.kind
-            for word in set(new):
-                known[word] = np.array([t.id for t in model.tokenize(word.translate(letters))], kind).tobytes()
-        return b"".join(map(known.__getitem__, words))
+        if len(self.known) > CACHE_WORDS:
+            self.known.clear()
+        return b"".join(map(self.known.__getitem__, _WORDS.findall(text.lower())))
 
     def _piece(self, piece: str) -> bytes:
         if not _OTHER.search(piece):
