@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from codetree.functions.codes import prefix
@@ -48,28 +49,50 @@ def range_assign(codes: DataFrame, chapters: DataFrame, sections: DataFrame) ->
     return filled.select(*codes.columns, "chapter", "chapter_desc", "section", "section_desc")
 
 
+def _narrowest(ranges: DataFrame, keys: list[str]) -> DataFrame:
+    """One range per key: the latest start, then the earliest end, then the last in document order."""
+    tight = ranges.groupBy(*keys, "first").agg(
+        F.min(F.struct("last", (-F.col("ord")).alias("back"), "id")).alias("end")
+    )
+    best = tight.groupBy(*keys).agg(F.max(F.struct("first", "end")).alias("best"))
+    return best.select(
+        *keys, "best.first", F.col("best.end.last").alias("last"),
+        (-F.col("best.end.back")).alias("ord"), F.col("best.end.id").alias("id"),
+    )
+
+
 def range_assign_interval(codes: DataFrame, ranges: DataFrame, code: str = "category") -> DataFrame:
     """Assign each category to the narrowest range that contains it.
 
-    ``ranges`` is (year, ord, id, first, last). Categories and ranges meet on the
-    first letter, so the comparison stays within one letter; codes join the
-    resulting category table, not the ranges.
+    ``ranges`` is (year, ord, id, first, last). A range is cut into whole first
+    letters, whole pairs of first characters, and the two pairs its ends lie in.
+    Only the narrowest range of a whole letter or pair goes on to categories, and
+    only those in the pair of an end are compared with it, so a range meets a
+    fixed number of them. Codes join the resulting category table, not the ranges.
     """
-    categories = codes.select("year", F.col(code).alias("category")).dropna().distinct()
-    letters = F.sequence(F.ascii("first"), F.ascii("last"))
-    spread = ranges.filter(F.col("first") <= F.col("last")).select(
-        "year", "ord", "id", "first", "last", F.explode(letters).alias("letter")
-    )
-    inside = (
-        categories.withColumn("letter", F.ascii("category"))
-        .join(spread, ["year", "letter"])
-        .filter(F.col("category").between(F.col("first"), F.col("last")))
+    categories = (
+        codes.select("year", F.col(code).alias("category"))
+        .dropna()
+        .distinct()
+        .withColumns({"letter": F.ascii("category"), "pair": prefix(F.col("category"), 2)})
     )
-    # Narrowest: the latest start, then the earliest end, then document order.
-    narrowness = W.partitionBy("year", "category").orderBy(F.desc("first"), "last", F.desc("ord"))
-    chosen = (
-        inside.withColumn("_rank", F.row_number().over(narrowness))
-        .filter(F.col("_rank") == 1)
-        .select("year", F.col("category").alias(code), "id", "first", "last")
+    pairs = categories.select("year", "letter", "pair").distinct()
+    low, high = F.ascii("first"), F.ascii("last")
+    spread = ranges.filter(F.col("first") <= F.col("last")).select(
+        "year", "ord", "id", "first", "last", F.explode(F.sequence(low, high)).alias("letter")
     )
+    at_end = F.col("letter").isin(low, high)
+    low_pair, high_pair = prefix(F.col("first"), 2), prefix(F.col("last"), 2)
+    reached = spread.filter(at_end).join(pairs, ["year", "letter"]).filter(F.col("pair").between(low_pair, high_pair))
+    whole = (F.col("pair") > low_pair) & (F.col("pair") < high_pair)
+    parts = [
+        categories.join(_narrowest(spread.filter(~at_end), ["year", "letter"]), ["year", "letter"]),
+        categories.join(_narrowest(reached.filter(whole), ["year", "pair"]), ["year", "pair"]),
+        categories.join(reached.filter(~whole).drop("letter"), ["year", "pair"]).filter(
+            F.col("category").between(F.col("first"), F.col("last"))
+        ),
+    ]
+    columns = ["year", "category", "first", "last", "ord", "id"]
+    inside = reduce(DataFrame.unionAll, [part.select(*columns) for part in parts])
+    chosen = _narrowest(inside, ["year", "category"]).select("year", F.col("category").alias(code), "id", "first", "last")
     return codes.join(chosen, ["year", code], "left")

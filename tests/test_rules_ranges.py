@@ -112,6 +112,27 @@ def test_interval_takes_the_narrowest(spark):
     assert got == {"A10.1": "again", "B20": "wide", "C1": None}
 
 
+@pytest.mark.parametrize("seed", range(2))
+def test_interval_is_the_narrowest_of_all(spark, seed):
+    rng = random.Random(seed)
+
+    def name():
+        return (rng.choice("ABCDE") + rng.choice("0129") + rng.choice("019A"))[: rng.choice([1, 2, 3, 3, 3])]
+
+    codes = sorted({name() for _ in range(60)} | {""})
+    ranges = [(1, i, f"r{i}", *sorted((name(), name()))) for i in range(25)] + [(1, 25, "whole", "", "F")]
+    df = spark.createDataFrame([(1, c, c) for c in codes], "year int, icd10_code string, category string")
+    got = range_assign_interval(df, spark.createDataFrame(ranges, "year int, ord int, id string, first string, last string"))
+
+    def narrowest(code):
+        held = [r for r in ranges if r[3] <= code <= r[4]]
+        start = max(r[3] for r in held)
+        end = min(r[4] for r in held if r[3] == start)
+        return [r[2] for r in held if r[3:] == (start, end)][-1]
+
+    assert {r.icd10_code: r.id for r in got.collect()} == {c: narrowest(c) for c in codes}
+
+
 def test_summary_keeps_rules_without_a_note(spark):
     rules = spark.createDataFrame([(7, 1, "L20", None, "A", "x"), (7, 2, "L21", "to L21", "B", "y")], "year int, ord int, name string, note string, char string, text string")
     got = {tuple(r) for r in rule_summary(rule_mentions(rules)).collect()}
