@@ -278,6 +278,19 @@ def test_repeated_passages(spark, awkward, empty):
     assert cut.columns == awkward.columns and cut.count() == len(AWKWARD) - 1
 
 
+def test_a_long_copy_with_many_insertions_is_one_repeat():
+    rng = np.random.default_rng(11)
+    source = rng.integers(0, 1 << 16, 3_000).astype("<u2")
+    copy = np.insert(source, np.arange(60, 3_000, 60), 7)  # 49 words put in
+    a, b = compact_windows._shingled(copy), compact_windows._shingled(source)
+    seeds = [(i + i // 60, i, i // 30 % 3) for i in range(20, 2_980, 30) if i % 60 < 56]
+    found = compact_windows.passages(a, b, seeds, 46, 2, 0.8)
+    covered = np.zeros(len(a), bool)
+    for start, end, *_ in found:
+        covered[start : end + 1] = True
+    assert covered.mean() > 0.95
+
+
 # Token files
 
 
