@@ -129,6 +129,18 @@ def shingles(words: Words, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return mix(combined[keep]), np.concatenate([[0], np.cumsum(runs)]), keep
 
 
+def sums_of(values: np.ndarray) -> np.ndarray:
+    """Running sums of ``values``, from which ``span_hashes`` takes the hashes of their runs."""
+    out = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values * _power_table(_BASE, len(values))[: len(values)], out=out[1:])
+    return out
+
+
+def span_hashes(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of the runs of values from ``start`` to before ``end``, whatever stands around them."""
+    return mix((sums[end] - sums[start]) * _power_table(_INVERSE, len(sums))[start])
+
+
 def signed(x: np.ndarray) -> np.ndarray:
     """The same bits as signed integers, which Spark has."""
     return x.view(np.int64)

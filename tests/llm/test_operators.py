@@ -291,6 +291,16 @@ def test_a_long_copy_with_many_insertions_is_one_repeat():
     assert covered.mean() > 0.95
 
 
+def test_a_repeat_is_found_past_documents_that_share_only_a_line_of_it(spark):
+    line = prose(70, 42)
+    passage = f"{prose(742, 6)} {line} {prose(743, 6)}"  # all six centres lie in the line
+    rows = [(i, f"{prose(100 + i, 80)} {line} {prose(200 + i, 80)}") for i in range(1, 60)]
+    rows += [(0, f"{prose(73, 80)} {line} {prose(74, 80)}"), (5, f"{prose(75, 90)} {passage} {prose(76, 90)}")]
+    rows = [r for r in rows if r != rows[4]] + [(70, f"{prose(77, 60)} {passage} {prose(78, 60)}")]
+    found = compact_windows.repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r["doc_id"], r["other_doc_id"], r["start_word"], r["end_word"]) for r in found} == {(70, 5, 60, 114)}
+
+
 # Token files
 
 
