@@ -451,6 +451,13 @@ def test_main_text_of_an_article():
     assert wrapper.extract("a < b <p", []) == "a < b <p" and wrapper.extract("<div>" * 5_000 + "deep", []) == "deep"
 
 
+def test_what_is_skipped_ends_where_it_ends():
+    for skipped in ('<svg class="i" d=">"/>', "<svg/>", "<math/>", "<title-bar>", "<template-x>", "<svg>", "<select>", "<title>", "<iframe src=x>"):
+        assert wrapper.extract(f"<article><p>One.</p>{skipped}<p>Two.</p></article>", []) == "One.\n\nTwo.", skipped
+    assert wrapper.extract("<p>One.<svg><title>No</title></svg><select><option>No</select><svg/><p>Two.<svg>No</svg>", []) == "One.\n\nTwo."
+    assert wrapper.extract("<p>One.</p><script>No<p>No</p>", []) == "One."
+
+
 # Packing
 
 
