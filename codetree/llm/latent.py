@@ -29,8 +29,6 @@ RANK = 256
 # Items compared with the corpus at a time; longer items are cut into parts of ITEM_WORDS.
 BLOCK_ITEMS = 400
 ITEM_WORDS = 224
-# The latent space is fitted on about this many documents, dealt by hash, and all items.
-FIT_DOCUMENTS = 20_000
 # Terms in more than this share of all blocks are common, but each item keeps its rarest ones.
 COMMON = 0.005
 KEPT_TERMS = 12
@@ -277,9 +275,7 @@ def _weights(items: list[Item], terms: Terms) -> np.ndarray:
     return out
 
 
-def leaks(
-    df: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text: str = "text", rank: int = RANK, fit_documents: int = FIT_DOCUMENTS
-) -> DataFrame:
+def leaks(df: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text: str = "text", rank: int = RANK) -> DataFrame:
     """Documents that hold an item of ``benchmark`` (item_id, text), also with words changed.
 
     Letter case makes no difference.
@@ -295,8 +291,6 @@ def leaks(
     wanted = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.lower("text").alias("text")).filter("text is not null").distinct()
     wanted = stage(wanted, "items")
     blocks = max(1, -(-wanted.count() // BLOCK_ITEMS))
-    share = min(1.0, fit_documents / max(1, rows.count()))
-    fit = rows.filter(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < int(share * 1_000_000)) if share < 1 else rows
     found: DataFrame | None = None
     for k in range(blocks):
         texts = wanted.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).orderBy("item_id", "text").collect()
@@ -312,7 +306,7 @@ def leaks(
             rare[own[:KEPT_TERMS]] = True
         terms = Terms.of(hashes[rare], np.log((total + 1) / (counts[rare] + 1)) + 1)
         weights = _weights(items, terms)
-        space = latent_space(fit, terms, weights, rank)
+        space = latent_space(rows, terms, weights, rank)
         own_found = _search(rows, terms, space, items, weights)
         found = own_found if found is None else found.unionByName(own_found)
     if found is None:

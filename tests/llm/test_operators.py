@@ -376,6 +376,15 @@ def test_leaks(spark, documents, empty, awkward):
     assert left.columns == awkward.columns and 1 not in by_id(left) and left.filter("doc_id is null").count() == 2
 
 
+def test_the_space_is_fitted_on_all_documents(spark, monkeypatch):
+    fitted, fit = [], latent.latent_space
+    monkeypatch.setattr(latent, "latent_space", lambda rows, *rest: fitted.append(rows.count()) or fit(rows, *rest))
+    rows = spark.range(20_500).select(F.col("id").alias("doc_id"), F.concat(F.lit("a b c "), F.col("id")).alias("text"))
+    benchmark = spark.createDataFrame([(1, "a b c 7 8 9 10.")], "item_id long, text string")
+    latent.leaks(rows, benchmark)
+    assert fitted == [20_500]
+
+
 # URL filter
 
 
