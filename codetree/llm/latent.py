@@ -1,12 +1,12 @@
 """Benchmark decontamination by latent semantic retrieval.
 
-Words of the benchmark that are not common in the corpus are the terms. Passages of the
+Words of the benchmark are the terms, each counted once per block. Passages of the
 corpus, runs of 32-word blocks as long as an item can reach over, are TF-IDF
 vectors over these terms. A randomised SVD of passages and items gives the latent space:
 tasks sum up ``A' (A random)`` over their passages, Spark adds the sums, and the factors
 follow from the small result (a one-pass Nystrom scheme). Every passage of every
 document is then compared with every item of a block of items; those with
-enough cosine similarity and enough of the item's weight are verified by
+enough of the item's weight, or enough of its words wherever they stand, are verified by
 longest common subsequence, and near hits by the item's answer, its last sentence.
 """
 
@@ -29,14 +29,11 @@ RANK = 256
 # Items compared with the corpus at a time; longer items are cut into parts of ITEM_WORDS.
 BLOCK_ITEMS = 400
 ITEM_WORDS = 224
-# Terms in more than this share of all blocks are common, but each item keeps its rarest ones.
-COMMON = 0.005
-KEPT_TERMS = 12
-COSINE = 0.3
 COVERAGE = 0.45
 LCS_SURE, LCS_WITH_ANSWER, ANSWER = 0.75, 0.55, 0.8
 _MASK = (1 << 20) - 1
 _TERM_ROWS = 512  # terms per row of a partial sum
+_CHUNK = 1 << 15  # words whose vectors are held at a time
 
 
 @dataclass
@@ -111,12 +108,19 @@ def _blocks(words: Words, longest: int) -> tuple[np.ndarray, np.ndarray, int]:
     return np.repeat(first[:-1], counts) + place // BLOCK, first, int(first[-1])
 
 
-def _sums(vectors: np.ndarray, block: np.ndarray, n: int) -> np.ndarray:
-    """Sum of the vectors of each block; ``block`` does not fall."""
-    out = np.zeros((n, vectors.shape[1]), np.float32)
-    if len(block):
-        start = np.flatnonzero(np.append(True, block[1:] != block[:-1]))
-        out[block[start]] = np.add.reduceat(vectors, start, axis=0)
+def _once(at: np.ndarray, term: np.ndarray, block: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The block and the term of each pair of them, once, in order of blocks."""
+    pairs = np.unique(block[at] * n + term)
+    return pairs // n, pairs % n
+
+
+def _sums(table: np.ndarray, term: np.ndarray, block: np.ndarray, n: int) -> np.ndarray:
+    """Sum of the rows of ``table`` of each block's terms; ``block`` does not fall."""
+    out = np.zeros((n, table.shape[1]), np.float32)
+    for low in range(0, len(block), _CHUNK):
+        own = block[low : low + _CHUNK]
+        start = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
+        out[own[start]] += np.add.reduceat(table[term[low : low + _CHUNK]], start, axis=0, dtype=np.float32)
     return out
 
 
@@ -163,19 +167,21 @@ def _gram_times(rows: DataFrame, terms: Terms, random: np.ndarray) -> np.ndarray
 
     def partial(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         terms, random = held.value, given.value
+        weighted = (random * terms.weight[:, None]).astype(np.float32)
         total = np.zeros((len(terms.hashes), rank))
         for batch in batches:
             for low, high in slices(batch.column(1)):
                 words = cut_words(batch.column(1).slice(low, high - low))
                 block, _, n = _blocks(words, 2)
-                at, term = terms.find(words.hash)
-                weight = terms.weight[term].astype(np.float32)[:, None]
-                y = _runs(_sums(random[term] * weight, block[at], n), 2)
+                own, term = _once(*terms.find(words.hash), block, len(terms.hashes))
+                y = _runs(_sums(weighted, term, own, n), 2)
                 y[1:] += y[:-1].copy()  # a block is in the passage that starts there and in the one before
-                order = np.argsort(term, kind="stable")
-                if len(order):
-                    start = np.flatnonzero(np.append(True, np.diff(term[order]) != 0))
-                    total[term[order][start]] += np.add.reduceat((y[block[at]] * weight)[order], start, axis=0)
+                for at in range(0, len(term), _CHUNK):
+                    some, block = term[at : at + _CHUNK], own[at : at + _CHUNK]
+                    order = np.argsort(some, kind="stable")
+                    start = np.flatnonzero(np.append(True, np.diff(some[order]) != 0))
+                    total[some[order][start]] += np.add.reduceat(y[block[order]], start, axis=0)
+        total *= terms.weight[:, None]
         for low in range(0, len(total), _TERM_ROWS):
             yield pa.RecordBatch.from_arrays([pa.array([low]), pa.array([total[low : low + _TERM_ROWS].tobytes()])], ["low", "sums"])
 
@@ -220,29 +226,33 @@ def _search(rows: DataFrame, terms: Terms, space: np.ndarray, items: list[Item],
     by_length: dict[int, list[int]] = {}
     for i in kept:
         by_length.setdefault(-(-len(items[i].words) // BLOCK) + 1, []).append(i)
+    counts = np.zeros((len(terms.hashes), len(items)), np.float32)
+    for i, item in enumerate(items):
+        np.add.at(counts[:, i], terms.find(np.array(item.words, np.uint64))[1], 1)
+    sizes = np.array([len(item.words) for item in items], np.float32)
     groups = [(length, own, latent[own] / norms[own][:, None], norms[own]) for length, own in sorted(by_length.items())]
     vectors = (space * terms.weight[:, None]).astype(np.float32)
-    held = rows.sparkSession.sparkContext.broadcast((terms, vectors, groups, items))
+    held = rows.sparkSession.sparkContext.broadcast((terms, vectors, counts, sizes, groups, items))
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        terms, vectors, groups, items = held.value
+        terms, vectors, counts, sizes, groups, items = held.value
         longest = max((length for length, *_ in groups), default=1)
         for batch in batches:
             out: list[tuple] = []
             for low, high in slices(batch.column(1)):
                 words = cut_words(batch.column(1).slice(low, high - low))
                 block, first, n = _blocks(words, longest)
-                at, term = terms.find(words.hash)
-                if not len(at):
+                owner, term = _once(*terms.find(words.hash), block, len(terms.hashes))
+                if not len(term):
                     continue
-                sums = _sums(vectors[term], block[at], n)
+                sums, present = _sums(vectors, term, owner, n), _sums(counts, term, owner, n)
                 for length, own, unit, norm in groups:
                     passages = _runs(sums, length)
                     size = np.linalg.norm(passages, axis=1)
-                    some = np.flatnonzero(size >= COVERAGE * norm.min())
-                    product = passages[some] @ unit.T
-                    hit, which = np.nonzero((product >= COSINE * size[some][:, None]) & (product >= COVERAGE * norm))
-                    for p, i in zip(some[hit].tolist(), which.tolist()):
+                    # No common subsequence is longer than the item's words that stand in the passage at all.
+                    likely = (passages @ unit.T >= COVERAGE * norm) | (_runs(present[:, own], length) >= LCS_WITH_ANSWER * sizes[own] - 1e-3)
+                    hit, which = np.nonzero(likely)
+                    for p, i in zip(hit.tolist(), which.tolist()):
                         text = int(np.searchsorted(first, p, "right")) - 1
                         start = int(words.first[text]) + (p - int(first[text])) * BLOCK
                         end = min(start + length * BLOCK, int(words.first[text + 1]))
@@ -254,7 +264,7 @@ def _search(rows: DataFrame, terms: Terms, space: np.ndarray, items: list[Item],
                         answer = common_subsequence(item.answer, window) / len(item.answer)
                         if lcs >= LCS_SURE or answer >= ANSWER:
                             at_word = start - int(words.first[text])
-                            cosine = float((passages[p] @ unit[i]) / size[p])
+                            cosine = float((passages[p] @ unit[i]) / max(size[p], 1e-12))
                             out.append((low + text, item.item_id, at_word, at_word + end - start, cosine, lcs, answer))
             if out:
                 found, *columns = zip(*out)
@@ -271,7 +281,7 @@ def _weights(items: list[Item], terms: Terms) -> np.ndarray:
     out = np.zeros((len(items), len(terms.hashes)))
     for i, item in enumerate(items):
         _, term = terms.find(np.array(item.words, np.uint64))
-        np.add.at(out[i], term, terms.weight[term])
+        out[i, term] = terms.weight[term]
     return out
 
 
@@ -299,12 +309,7 @@ def leaks(df: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text:
             continue
         hashes = np.unique(np.array([w for i in items for w in i.words], np.uint64))
         counts, total = _block_counts(rows, hashes)
-        place = {h: i for i, h in enumerate(hashes.tolist())}
-        rare = counts <= COMMON * max(total, 1)
-        for item in items:
-            own = sorted({place[w] for w in item.words}, key=lambda t: (counts[t], t))
-            rare[own[:KEPT_TERMS]] = True
-        terms = Terms.of(hashes[rare], np.log((total + 1) / (counts[rare] + 1)) + 1)
+        terms = Terms.of(hashes, np.log((total + 1) / (counts + 1)) + 1)
         weights = _weights(items, terms)
         space = latent_space(rows, terms, weights, rank)
         own_found = _search(rows, terms, space, items, weights)

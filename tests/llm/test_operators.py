@@ -385,6 +385,18 @@ def test_the_space_is_fitted_on_all_documents(spark, monkeypatch):
     assert fitted == [20_500]
 
 
+def test_a_leak_is_found_beside_a_repeated_term_and_without_its_rare_words(spark):
+    common = ["the", "of", "and", "to", "in", "is", "for", "on", "that", "by", "with", "as"]
+    rare = [f"rare{i}" for i in range(5)]
+    items = {1: " ".join(prose(90, 15).split()), 2: " ".join(common * 2 + rare)}
+    first = items[1].split()[0]
+    docs = {i: " ".join(common) + " " + prose(300 + i, 60) for i in range(200)}
+    docs[500] = f"{items[1]} {' '.join([first] * 45)}"
+    docs[501] = f"{prose(91, 20)} {' '.join(common * 2 + ['other'] * 5)} {prose(92, 20)}"
+    found = latent.leaks(spark.createDataFrame([*docs.items()], "doc_id long, text string"), spark.createDataFrame([*items.items()], "item_id long, text string"))
+    assert {(500, 1), (501, 2)} <= {(r["doc_id"], r["item_id"]) for r in found.collect()}
+
+
 # URL filter
 
 
