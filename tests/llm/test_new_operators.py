@@ -134,12 +134,25 @@ def test_alignment(spark, awkward, monkeypatch, heavy):  # noqa: F811
     assert sorted(map(repr, map(tuple, found))) == sorted(map(repr, want))
 
 
-def test_alignment_of_segments_and_whole_texts(documents):  # noqa: F811
+def test_fast_encoder_is_the_library(spark):
+    """Over all texts of sf0.01, odd ones, and random ones of pieces that merge in many ways."""
     own = token_alignment.aligner(A_PATH, B_PATH)
-    assert own.by_segment
-    for text in [r["text"] for r in documents.collect() if r["text"]] + ODD:
-        assert own.align(text) == own._whole(text)
-    assert own.align("a\x00b") is not None and own.align("▁") is None
+    assert own.fast is not None
+    rng = random.Random(4)
+    pieces = list(own.library.get_vocab())[:3_000:7] + ["'s", " ", "  ", "\n", "\t ", "é", "中", "<|endoftext|>", "\u3000", "\x1f", "\x85", "\u00a0", "１", "ⅷ"]
+    texts = ["".join(rng.choice(pieces) for _ in range(40)) for _ in range(2_000)] + ODD
+    texts += [r["text"] for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect() if r["text"]]
+    for text in texts:
+        assert own.a_ids(f" {text}").tolist() == own.library.encode(f" {text}", add_special_tokens=False).ids
+
+
+def test_long_runs(spark):
+    own = token_alignment.aligner(A_PATH, B_PATH)
+    text = "ab" * 20_000 + " " * 3_000 + "c"
+    assert token_alignment.may_have_long_run(text) and not token_alignment.may_have_long_run("some words " * 900)
+    for i in range(0, 2_000, 111):
+        assert token_alignment.may_have_long_run("a " * i + "x" * 1_000 + " b" * 50) and token_alignment.may_have_long_run("a " * i + "\n" * 1_000)
+    assert own.a_ids(f" {text}").tolist() == own.library.encode(f" {text}", add_special_tokens=False).ids
 
 
 def test_alignment_of_an_empty_table(empty):  # noqa: F811
