@@ -1,4 +1,4 @@
-"""Latin to ASCII transliteration as ``translate`` plus a few replacements."""
+"""Latin to ASCII transliteration as ``translate`` plus one lookup of what becomes several characters."""
 
 from __future__ import annotations
 
@@ -55,11 +55,20 @@ _PAIRS = _single_pairs()
 _SPELLED = _multiple_pairs()
 
 
+# A place beside a character that becomes several.
+_BESIDE = "(?<=[{0}])|(?=[{0}])".format("".join(_SPELLED))
+
+
 def to_ascii(col: Column) -> Column:
-    """Replace Latin letters with diacritics and typographic signs by ASCII."""
+    """Replace Latin letters with diacritics and typographic signs by ASCII.
+
+    Letters with one substitute are translated; a text with others is cut beside them, and each
+    is looked up once.
+    """
     single = F.translate(col, "".join(_PAIRS.keys()), "".join(_PAIRS.values()))
-    pairs = F.array(*[F.struct(F.lit(a).alias("char"), F.lit(b).alias("text")) for a, b in _SPELLED.items()])
-    spelled = F.aggregate(pairs, single, lambda text, pair: F.replace(text, pair["char"], pair["text"]))
+    table = F.create_map(*[F.lit(x) for pair in _SPELLED.items() for x in pair])
+    pieces = F.transform(F.split(single, _BESIDE), lambda p: F.coalesce(F.try_element_at(table, p), p))
+    spelled = F.when(F.rlike(single, F.lit(f"[{''.join(_SPELLED)}]")), F.array_join(pieces, "")).otherwise(single)
     plain = F.regexp_replace(spelled, r"(?<=[A-Za-z0-9])\p{Mn}+", "")
     # Most texts are ASCII already: as many bytes as characters.
     return F.when(F.octet_length(col) == F.length(col), col).otherwise(plain)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from codetree.functions.text import tokens
@@ -105,20 +105,21 @@ def code_spine(categories: DataFrame) -> DataFrame:
     )
 
 
+def _literal(word: Column) -> Column:
+    """A pattern that matches the word itself, whatever signs it holds."""
+    return F.regexp_replace(word, r"([\\^$.|?*+()\[\]{}])", r"\\$1")
+
+
 def neighbour_diff(df: DataFrame, text: str, near: str, suffix: str) -> DataFrame:
     """Text without the words of its neighbour, and the part both share.
 
-    ``near`` holds the neighbour's text; its words are removed wherever they
-    occur, also inside longer words, the longest possible first.
+    ``near`` holds the neighbour's text; its words, cut at white space and taken as they are, are removed wherever they
+    occur, also inside longer words, the longest possible first. What is left, as one piece, is removed
+    from the text to give the shared part. A null neighbour gives nulls, one without words removes nothing.
     """
-    alternatives = F.array_join(
-        F.transform(
-            F.array_sort(F.transform(F.split(near, r"\s"), lambda w: F.struct(-F.length(w), w.alias("w")))),
-            lambda x: x["w"],
-        ),
-        "|",
-    )
-    different = F.regexp_replace(F.col(text), alternatives, F.lit(""))
-    return df.withColumn(f"different_{suffix}", different).withColumn(
-        f"same_{suffix}", F.regexp_replace(F.col(text), F.col(f"different_{suffix}"), F.lit(""))
-    )
+    words = F.filter(F.split(near, r"\s"), lambda w: w != "")
+    longest_first = F.array_sort(F.transform(words, lambda w: F.struct(-F.length(w), w.alias("w"))))
+    pattern = F.array_join(F.transform(longest_first, lambda x: _literal(x["w"])), "|")
+    different = F.regexp_replace(F.col(text), pattern, F.lit(""))
+    shared = F.replace(F.col(text), F.col(f"different_{suffix}"), F.lit(""))
+    return df.withColumn(f"different_{suffix}", different).withColumn(f"same_{suffix}", shared)

@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from codetree.functions.text import trim_ws, word_diff
 from codetree.operators.levels import PARENTS, leaf_table
 from codetree.operators.ranges import range_assign
 from codetree.operators.rules import apply_rules, rule_mentions
+from codetree.sources import incremental
 from codetree.sources import tabular_xml as xml
+from codetree.sources.files import write_hierarchy
 from codetree.staging import stage
 
 LEVEL_COLUMNS = [c for p in PARENTS for c in (p, f"{p}_desc")]
@@ -109,3 +111,28 @@ def hierarchy_from_releases(docs: DataFrame, update_date: date | None = None, mi
     return hierarchy(
         nodes, xml.chapters(docs), xml.sections(docs), xml.extension_rules(nodes), update_date, missing
     )
+
+
+def refresh_hierarchy(
+    spark: SparkSession, path: str, store: str, target: str, several_files: bool = False, **reading: str
+) -> tuple[list[int], list[int]]:
+    """Bring a written hierarchy up to a release folder: (years built, years removed).
+
+    Only new and changed files are read, and only years whose files differ from those they were
+    built from are built and replaced. ``reading`` is the name filter and year pattern of the scan.
+    """
+    incremental.load(spark, path, store, **reading)
+    docs, _ = incremental.releases(spark, store, several_files)
+    prints = incremental.year_prints(spark, store, several_files)
+    log = incremental.table(spark, f"{store}/built", "build int, year int, print string")
+    built = log.groupBy("year").agg(F.max_by("print", "build").alias("print")).filter("print IS NOT NULL")
+    number = (log.agg(F.max("build")).first()[0] or 0) + 1
+    fresh = stage(prints.join(built, ["year", "print"], "left_anti"), "changed-years")
+    gone = stage(built.join(prints, "year", "left_anti").select("year", F.lit(None).cast("string").alias("print")), "gone-years")
+    years, lost = (sorted(r["year"] for r in df.select("year").collect()) for df in (fresh, gone))
+    if years:
+        write_hierarchy(hierarchy_from_releases(docs.filter(F.col("year").isin(years))), target)
+    for year in lost:
+        incremental.remove(spark, f"{target}/year={year}")
+    fresh.unionByName(gone).write.mode("overwrite").parquet(f"{store}/built/build={number}")
+    return years, lost

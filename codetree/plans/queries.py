@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from codetree.functions.codes import prefix
@@ -17,14 +17,27 @@ from codetree.operators.quality import code_quality, coverage_gap
 from codetree.operators.ranges import range_assign, range_assign_interval
 from codetree.operators.rollup import prefix_rollup, rollup_enrich, rollup_map, rollup_profile
 from codetree.operators.rules import apply_rules, apply_rules_broadest_first, rule_mentions, rule_summary
-from codetree.plans.flattened import aligned_names, filled_names
+from codetree.operators.reshape import element_records
+from codetree.plans.flattened import aligned_names, export_rules, filled_names, flattened_hierarchy, shifted_hierarchy
 from codetree.plans.hierarchy import DIFFS, RANGE_COLUMNS, derived_parents, describe, hierarchy, level_texts
 from codetree.plans.phrase_table import listed_codes, phrase_table
 from codetree.plans.views import view
-from codetree.sources.tabular_xml import ROOT_TAG, node_table, parse_documents
-from codetree.staging import stage
+from codetree.sources import incremental
+from codetree.sources.tabular_xml import (
+    ROOT_TAG,
+    chapters,
+    extension_rules,
+    node_table,
+    parse_documents,
+    section_ranges,
+    sections,
+)
+from codetree.staging import scratch, stage
 
 THRESHOLD = 40
+EXPORT_YEAR = 2031
+# Line numbers repeat in the sample tables.
+LINE_ORDER = ("line", "partkey", "quantity", "flag", "linestatus")
 UPDATE_DATE = date(2025, 1, 1)
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -197,20 +210,178 @@ def q_code_spine(spark: SparkSession, d: str) -> DataFrame:
     return code_spine(view(spark, d, "categories"))
 
 
-@query
-def q_xml_nodes(spark: SparkSession, d: str) -> DataFrame:
-    """Nodes read back from one XML document per leaf code and its ancestors."""
+def _leaf_chapter() -> Column:
+    """The chapter of a document that holds a leaf code and its ancestors, nested."""
     chain = [("extension", "extension_desc")] + [(p, f"{p}_desc") for p in reversed(PARENTS)]
     nested = None
     for name, desc in chain:
         fields = [F.col(name).alias("name"), F.col(desc).alias("desc")]
         nested = F.struct(*fields, *([nested.alias("diag")] if nested is not None else []))
-    document = F.struct(F.struct(F.struct(nested.alias("diag")).alias("section")).alias("chapter"))
-    text = F.to_xml(document, {"rowTag": ROOT_TAG})
-    docs = parse_documents(_leaves(spark, d).select("year", text.alias("xml")), "xml", "year")
-    return node_table(docs).filter(F.col("code").isNotNull()).select(
-        "year", "depth", "code", F.col("desc").alias("title")
-    ).distinct()
+    return F.struct(F.struct(nested.alias("diag")).alias("section"))
+
+
+def _titled_nodes(docs: DataFrame) -> DataFrame:
+    nodes = node_table(docs).filter(F.col("code").isNotNull())
+    return nodes.select("year", "depth", "code", F.col("desc").alias("title")).distinct()
+
+
+@query
+def q_xml_nodes(spark: SparkSession, d: str) -> DataFrame:
+    """Nodes read back from one XML document per leaf code and its ancestors."""
+    text = F.to_xml(F.struct(_leaf_chapter().alias("chapter")), {"rowTag": ROOT_TAG})
+    return _titled_nodes(parse_documents(_leaves(spark, d).select("year", text.alias("xml")), "xml", "year"))
+
+
+@query
+def q_incremental_releases(spark: SparkSession, d: str) -> DataFrame:
+    """Nodes of release files that are loaded twice, and the load in which each year was read.
+
+    Between the loads the first year's texts are revised and the last year appears; only these are read again.
+    """
+    folder, store = scratch(spark, "release-files"), scratch(spark, "release-store")
+    leaves = _leaves(spark, d)
+    years = leaves.agg(F.min("year").alias("first"), F.max("year").alias("last")).first()
+    texts = [f"{p}_desc" for p in PARENTS] + ["extension_desc"]
+    revised = leaves.withColumns({c: F.concat(c, F.lit(" revised")) for c in texts})
+    new = revised.filter(F.col("year") == years["first"]).unionByName(leaves.filter(F.col("year") == years["last"]))
+    for release in (leaves.filter(F.col("year") != years["last"]), new.filter(F.lit(years["first"] != years["last"]))):
+        files = release.select(F.col("year").alias("release"), _leaf_chapter().alias("chapter"))
+        writer = files.write.format("xml").option("rootTag", "releases").option("rowTag", ROOT_TAG)
+        writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("release").save(folder)
+        incremental.load(spark, folder, store, "part-*", r"release=(\d{4})/[^/]*$")
+    docs, _ = incremental.releases(spark, store, several_files=True)
+    loads = docs.groupBy("year").agg(F.max("load").alias("load"))
+    return _titled_nodes(docs).join(loads, "year")
+
+
+def _escaped(text: Column | str) -> Column:
+    """Text as XML holds it."""
+    col = F.col(text) if isinstance(text, str) else text
+    return F.replace(F.replace(col, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
+
+
+def _joined(parts: Column) -> Column:
+    """Collected (place, xml) structs as one text, in order of their places."""
+    return F.array_join(F.transform(F.array_sort(F.collect_list(parts)), lambda p: p["xml"]), "")
+
+
+def _customer_documents(spark: SparkSession, d: str) -> DataFrame:
+    """A release document per customer: orders are its chapters, lines their sections, each with a rule.
+
+    ``year`` is the number of the customer. A customer's orders and an order's lines are few at every scale.
+    """
+    lines = view(spark, d, "order_lines")
+    section = F.format_string(
+        """<section id="%d-%d"><desc>part <new>%d</new> of <old rev='1'>line</old></desc><diag><name>L%02d.%d</name><desc>x</desc>"""
+        "<sevenChrNote><note>add to L%02d</note></sevenChrNote><sevenChrDef><extension char=\"%s\">flag <new>%s</new></extension>"
+        "<extension char='Z'>status %s</extension></sevenChrDef></diag></section>",
+        "orderkey", "line", "partkey", "quantity", "line", "quantity", "flag", "flag", "linestatus",
+    )
+    ref = F.format_string("""<sectionRef first="%d" last='%d' id="%d-%d">part %d</sectionRef>""", "line", "quantity", "orderkey", "line", "partkey")
+    orders = lines.groupBy("custkey", "orderkey", "priority", "status").agg(
+        _joined(F.struct(F.struct(*LINE_ORDER).alias("place"), section.alias("xml"))).alias("sections"),
+        _joined(F.struct(F.struct(*LINE_ORDER).alias("place"), ref.alias("xml"))).alias("refs"),
+    )
+    title = F.concat_ws(" & ", "priority", "status")
+    chapter = F.concat(
+        F.lit("<chapter><name> "), F.col("orderkey").cast("string"), F.lit(" </name><desc>"), _escaped(title), F.lit("</desc><sectionIndex>"),
+        F.col("refs"), F.lit("</sectionIndex>"), F.col("sections"), F.lit("</chapter>"),
+    )
+    whole = orders.groupBy(F.col("custkey").alias("year")).agg(_joined(F.struct(F.col("orderkey").alias("place"), chapter.alias("xml"))).alias("body"))
+    xml = F.concat(F.lit(f"<{ROOT_TAG}><version>1</version>"), F.col("body"), F.lit(f"</{ROOT_TAG}>"))
+    return stage(parse_documents(whole.withColumn("xml", xml), "xml", "year"), "customer-documents")
+
+
+@query
+def q_document_chapters(spark: SparkSession, d: str) -> DataFrame:
+    found = chapters(_customer_documents(spark, d))
+    return found.select("year", F.get("ord", F.lit(0)).alias("chapter_pos"), "name", F.col("desc").alias("title"))
+
+
+@query
+def q_document_sections(spark: SparkSession, d: str) -> DataFrame:
+    found = sections(_customer_documents(spark, d))
+    places = [F.get("ord", F.lit(i)).alias(name) for i, name in enumerate(("chapter_pos", "section_pos"))]
+    return found.select("year", *places, "id", F.col("desc").alias("title"))
+
+
+@query
+def q_section_index(spark: SparkSession, d: str) -> DataFrame:
+    found = section_ranges(_customer_documents(spark, d))
+    places = [F.get("ord", F.lit(i)).alias(name) for i, name in enumerate(("chapter_pos", "ref_pos"))]
+    return found.select("year", *places, "id", F.col("first").alias("low"), F.col("last").alias("high"), "text")
+
+
+@query
+def q_extension_rules(spark: SparkSession, d: str) -> DataFrame:
+    found = extension_rules(node_table(_customer_documents(spark, d)))
+    places = [F.get("ord", F.lit(i)).alias(name) for i, name in ((0, "chapter_pos"), (1, "section_pos"), (3, "pos"))]
+    return found.select("year", *places, "name", "note", F.col("char").alias("chr"), F.col("text").alias("txt"))
+
+
+@query
+def q_element_records(spark: SparkSession, d: str) -> DataFrame:
+    """Elements of a text per order: both kinds of quotes, empty elements, entities, mixed content, character data."""
+    line = F.format_string(
+        """<line no='%d'>part <b k="p">%d</b> of <q>%d</q><!-- <q>0</q> -->!</line>""", "line", "partkey", "quantity"
+    )
+    orders = view(spark, d, "order_lines").groupBy("orderkey", "priority", "status").agg(
+        _joined(F.struct(F.struct(*LINE_ORDER).alias("place"), line.alias("xml"))).alias("lines")
+    )
+    xml = F.concat(
+        F.format_string("<?xml version='1.0'?>\n<order key='%d' note=\"a > &quot;b&#34;\">", "orderkey"),
+        F.lit("<mark>A&amp;B &lt;"), F.col("priority"), F.lit("&gt; &#233;&#xe9; <![CDATA[<raw/> &amp;]]></mark>"),
+        F.when(F.col("status") == "F", F.lit("<closed/>")).otherwise(F.lit("<open ></open>")),
+        F.lit("<lines>"), F.col("lines"), F.lit("</lines></order >\n"),
+    )
+    found = element_records(orders.withColumn("xml", xml), "xml", ["orderkey"])
+    attributes = F.array_join(
+        F.transform(F.array_sort(F.map_entries("attributes")), lambda a: F.concat_ws("=", a["key"], a["value"])), ";"
+    )
+    return found.select(
+        "orderkey", F.col("pos").cast("int").alias("pos"), F.col("parent").cast("int").alias("parent"),
+        F.array_join("path", "/").alias("path"), "name", attributes.alias("attributes"), "text",
+    )
+
+
+@query
+def q_export_rules(spark: SparkSession, d: str) -> DataFrame:
+    found = export_rules(view(spark, d, "export_full"), EXPORT_YEAR)
+    return found.withColumnsRenamed({"char": "chr", "text": "txt"})
+
+
+@query
+def q_flattened_hierarchy(spark: SparkSession, d: str) -> DataFrame:
+    return flattened_hierarchy(view(spark, d, "export_full"), EXPORT_YEAR)
+
+
+@query
+def q_shifted_hierarchy(spark: SparkSession, d: str) -> DataFrame:
+    return shifted_hierarchy(view(spark, d, "export_full"), no_region="C1.")
+
+
+@query
+def q_range_assign_codes(spark: SparkSession, d: str) -> DataFrame:
+    """Full codes in the narrowest of many ranges: sections, every group of five characters, and runs of six."""
+    leaves = _leaves(spark, d).select("year", "icd10_code")
+    wide = view(spark, d, "sections").select("year", "ord", F.col("desc").alias("id"), F.col("low").alias("first"), F.col("high").alias("last"))
+    five, six = prefix(F.col("icd10_code"), 5), prefix(F.col("icd10_code"), 6)
+    groups = leaves.groupBy("year", five.alias("first")).agg(F.count("*").alias("ord"), F.max(six).alias("last"))
+    runs = leaves.groupBy("year", prefix(F.col("icd10_code"), 4).alias("four")).agg(
+        F.count("*").alias("ord"), F.min("icd10_code").alias("first"), F.max(five).alias("last")
+    )
+    narrow = [r.select("year", "ord", F.concat_ws(" to ", "first", "last").alias("id"), "first", "last") for r in (groups, runs)]
+    ranges = wide.unionByName(narrow[0]).unionByName(narrow[1])
+    return range_assign_interval(leaves, ranges, "icd10_code").withColumnsRenamed({"first": "low", "last": "high"})
+
+
+@query
+def q_neighbour_diff_signs(spark: SparkSession, d: str) -> DataFrame:
+    """Texts full of brackets, dots and stars against the text of the same user before them."""
+    rows = view(spark, d, "signs")
+    bucket = F.floor(F.col("event_id") / 4096)
+    near = neighbour(stage(rows, "signs"), "body", "near", ["event_id"], ["user_id"], bucket)
+    return neighbour_diff(near, "body", "near", "user").drop("near")
 
 
 @query

@@ -3,7 +3,7 @@
 The sample tables hold no classification codes, so parts play codes, line items
 play visits, regions and nations play chapters and sections, documents play the
 described code list and events play the flattened export. Every view reads its
-tables in full. Every part up to number 46,655 has a code of its own; later ones lack the fourth character.
+tables in full. Every part has a code of its own, whatever their number.
 """
 
 from __future__ import annotations
@@ -17,13 +17,29 @@ TABLES = (
     "embeddings pages benchmark labels conversations"
 ).split()
 
-_PART_CODES = """
+_DIGITS = "'0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ'"
+
+
+def _digit(value: str, place: int) -> str:
+    """A digit of a number to base 36."""
+    return f"substr({_DIGITS}, cast(floor({value} / {36**place}) % 36 AS int) + 1, 1)"
+
+
+def _digits(value: str, most: int) -> str:
+    """A number to base 36 without leading zeros; nothing for 0."""
+    return " || ".join(f"CASE WHEN {value} >= {36**p} THEN {_digit(value, p)} ELSE '' END" for p in reversed(range(most)))
+
+
+# A letter, the size, and three digits to base 36 tell 46,656 parts of a size apart; each next such block of parts has
+# other letters, and after eight blocks codes get further digits at their end.
+_BLOCK = "floor(p_partkey / 46656)"
+_PART_CODES = f"""
 SELECT p_partkey, p_size, p_type, p_name, p_brand,
-       substr('PQR', cast(p_partkey % 3 AS int) + 1, 1) || lpad(cast(p_size AS string), 2, '0') || '.'
-           || substr('0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ', cast(floor(p_partkey / 1296) AS int) + 1, 1)
-           || substr('0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ', cast(floor(p_partkey / 36) AS int) % 36 + 1, 1)
-           || substr('0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ', cast(p_partkey % 36 AS int) + 1, 1) AS code
-FROM {part}
+       substr('PQRABCDEFGHIJKLMNOSTUVWX', cast(p_partkey % 3 + 3 * ({_BLOCK} % 8) AS int) + 1, 1)
+           || lpad(cast(p_size AS string), 2, '0') || '.'
+           || {_digit("p_partkey", 2)} || {_digit("p_partkey", 1)} || {_digit("p_partkey", 0)}
+           || {_digits("floor(p_partkey / 373248)", 4)} AS code
+FROM {{part}}
 """
 
 # A letter per language; two of them begin alike.
@@ -166,6 +182,65 @@ FROM {events}
 """,
 }
 
+_STEP = "(user_id + event_id) % 20"
+_TURN = "cast(floor(event_id / 60) AS bigint) % 3"
+_CODE3 = "'C' || lpad(cast(cast(floor(event_id / 97) AS bigint) % 100 AS string), 2, '0')"
+
+
+def _at(step: int, value: str, name: str, more: str = "") -> str:
+    return f"       CASE WHEN {_STEP} = {step}{more} THEN {value} END AS {name}"
+
+
+VIEWS |= {
+    # An export with notes, characters and regions as well, and codes that the notes mention.
+    "export_full": "SELECT event_id AS row_id,\n"
+    + ",\n".join(
+        [
+            _at(0, "cast(user_id AS string)", "name0"),
+            _at(1, "event_type || ' chapter'", "desc0"),
+            f"       CASE WHEN {_STEP} = 2 THEN 'R' || cast(user_id % 9 AS string) WHEN {_STEP} = 18 THEN {_CODE3} || '.1' END AS id6",
+            _at(3, "event_type || ' region'", "desc7"),
+            _at(4, _CODE3, "name8"),
+            _at(5, "event_type || ' three'", "desc9"),
+            _at(6, f"{_CODE3} || '.1'", "name10"),
+            _at(7, "event_type || ' five'", "desc11"),
+            _at(8, f"{_CODE3} || '.12'", "name14"),
+            _at(9, "event_type || ' six'", "desc15"),
+            _at(10, f"{_CODE3} || '.123'", "name20"),
+            _at(11, "event_type || ' seven'", "desc21"),
+            _at(12, f"{_CODE3} || '.1234'", "name23"),
+            _at(13, "event_type || ' eight'", "desc24"),
+            _at(14, f"'to be added to each code from category ' || {_CODE3} || ':'", "note32", f" AND {_TURN} = 0"),
+            _at(14, f"'added to subcategories ' || {_CODE3} || '.1, O30 and ' || {_CODE3}", "note42", f" AND {_TURN} = 1"),
+            _at(14, f"'add to ' || {_CODE3} || '.12.'", "note58", f" AND {_TURN} = 2"),
+            f"       CASE WHEN {_STEP} = 15 AND {_TURN} = 0 OR {_STEP} = 18 THEN event_type || ' first' END AS extension",
+            _at(15, "'Séquelle ' || event_type", "extension43", f" AND {_TURN} = 1"),
+            _at(15, "event_type", "extension59", f" AND {_TURN} = 2"),
+            f"       CASE WHEN {_STEP} = 15 AND {_TURN} = 0 OR {_STEP} = 18 THEN 'A' END AS char0",
+            _at(15, "'S'", "char44", f" AND {_TURN} = 1"),
+            _at(15, "'D'", "char60", f" AND {_TURN} = 2"),
+            _at(17, "event_type || ' area'", "sectionRef"),
+            _at(17, "'C00'", "first0"),
+            _at(17, "'C' || cast(user_id % 2 AS string) || '9'", "last0"),
+            _at(17, "'R' || cast(user_id % 9 AS string)", "id0"),
+        ]
+    )
+    + "\nFROM {events}",
+    # Events as texts full of characters that patterns give a meaning.
+    "signs": """
+SELECT event_id, user_id,
+       event_type || ' (' || cast(user_id AS string) || ') ' || props || ' a.' || cast(event_id % 7 AS string) || '* +'
+         || cast(event_id % 5 AS string) || ' [' || cast(event_id % 3 AS string) || CASE WHEN event_id % 4 = 0 THEN '' ELSE '] $^|' END AS body
+FROM {events}
+""",
+    # An order and its lines, for documents and element trees.
+    "order_lines": """
+SELECT o_custkey AS custkey, o_orderkey AS orderkey, o_orderstatus AS status, o_orderpriority AS priority,
+       l_linenumber AS line, cast(l_quantity AS int) AS quantity, l_returnflag AS flag, l_linestatus AS linestatus, l_partkey AS partkey
+FROM {orders} JOIN {lineitem} ON l_orderkey = o_orderkey
+""",
+}
+
 # Column names that SQL reserves or that differ from the operators' names.
 _RENAMED = {
     "nodes": {"title": "desc"},
@@ -174,7 +249,10 @@ _RENAMED = {
     "rules": {"chr": "char", "txt": "text"},
     "categories": {"title": "description"},
     "export": {"row_id": "row", "name0": "name", "desc0": "desc"},
-}
+    "export_full": {
+        "row_id": "row", "name0": "name", "desc0": "desc", "char0": "char", "first0": "first", "last0": "last", "id0": "id",
+    },
+}
 
 
 @lru_cache(maxsize=128)

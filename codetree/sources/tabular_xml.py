@@ -44,28 +44,24 @@ DOCUMENT_SCHEMA = (
 )
 
 
-def read_releases(
-    spark: SparkSession,
-    path: str,
-    name_filter: str = "*.xml",
-    year_pattern: str = r"(\d{4})[^/]*$",
-) -> tuple[DataFrame, DataFrame]:
-    """All release files below ``path``: (documents, quarantined files).
+# The year in a file name.
+NAME_YEAR = r"(\d{4})[^/]*$"
 
-    The year comes from the file name, else from the version element, else from the
-    folder. A file that does not parse, that has no year, or whose year an earlier file (by name) has as well lands in
-    the second frame, ``(year, file, text, reason)``, and leaves the others alone. The parsed files are
-    staged, since every later operator starts from them.
+
+def read_raw(spark: SparkSession, paths: str | list[str], name_filter: str = "*.xml", year_pattern: str = NAME_YEAR) -> DataFrame:
+    """(version, chapter, corrupt text, file, year), one row per document, not yet judged.
+
+    The year comes from the file name, else from the version element, else from the folder.
     """
-    raw = stage(
+    return (
         spark.read.format("xml")
         .option("rowTag", ROOT_TAG)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("pathGlobFilter", name_filter)
         .schema(f"{DOCUMENT_SCHEMA}, {CORRUPT} string")
-        .load(path)
-        .withColumn("file", F.col("_metadata.file_path"))
+        .load(paths)
+        .select("version", "chapter", CORRUPT, F.col("_metadata.file_path").alias("file"))
         .withColumn(
             "year",
             F.coalesce(
@@ -73,22 +69,42 @@ def read_releases(
                 F.col("version").try_cast("int"),
                 F.regexp_extract("file", FOLDER_YEAR, 1).try_cast("int"),
             ),
-        ),
-        "releases",
+        )
     )
+
+
+def judge(raw: DataFrame, several_files: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(documents, quarantined) of what ``read_raw`` gives.
+
+    Where a year may not come in ``several_files``, the first of them by name holds.
+    """
     parsed = raw.filter(F.col(CORRUPT).isNull() & F.col("year").isNotNull())
     first = parsed.groupBy(F.col("year").alias("_year")).agg(F.min("file").alias("_first"))
-    marked = raw.join(first, F.col("year") == F.col("_year"), "left").withColumn(
-        "reason",
-        F.when(F.col(CORRUPT).isNotNull(), "not parsed")
-        .when(F.col("year").isNull(), "no year")
-        .when(F.col("file") != F.col("_first"), "another file of the year"),
-    )
+    reason = F.when(F.col(CORRUPT).isNotNull(), "not parsed").when(F.col("year").isNull(), "no year")
+    if not several_files:
+        raw = raw.join(first, F.col("year") == F.col("_year"), "left")
+        reason = reason.when(F.col("file") != F.col("_first"), "another file of the year")
+    marked = raw.withColumn("reason", reason)
     good = marked.filter(F.col("reason").isNull()).select("year", "file", "version", "chapter")
     bad = marked.filter(F.col("reason").isNotNull()).select("year", "file", F.col(CORRUPT).alias("text"), "reason")
     return good, bad
 
 
+def read_releases(
+    spark: SparkSession,
+    path: str,
+    name_filter: str = "*.xml",
+    year_pattern: str = NAME_YEAR,
+) -> tuple[DataFrame, DataFrame]:
+    """All release files below ``path``: (documents, quarantined files).
+
+    A file that does not parse, that has no year, or whose year an earlier file (by name) has as well lands in
+    the second frame, ``(year, file, text, reason)``, and leaves the others alone. The parsed files are
+    staged, since every later operator starts from them. ``sources.incremental`` reads only what has changed.
+    """
+    return judge(stage(read_raw(spark, path, name_filter, year_pattern), "releases"))
+
+
 def parse_documents(df: DataFrame, xml: str, *keep: str) -> DataFrame:
     """Documents from a string column, for releases that arrive inside a table."""
     parsed = F.from_xml(F.col(xml), T.StructType.fromDDL(DOCUMENT_SCHEMA), {"rowTag": ROOT_TAG})

@@ -40,9 +40,14 @@ def _session_folder(spark: SparkSession) -> str:
     return f"{checkpoint_dir(spark)}/codetree/{spark.sparkContext.applicationId}"
 
 
+def scratch(spark: SparkSession, label: str) -> str:
+    """A folder of its own in the session's shared folder."""
+    return f"{_session_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and return a DataFrame that reads the written table."""
-    path = f"{_session_folder(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    path = scratch(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -81,3 +81,13 @@ def test_neighbour_diff_removes_longest_first(spark):
     df = spark.createDataFrame([("painful ear left", "pain painful ear"), ("a b", None)], "t string, near string")
     rows = neighbour_diff(df, "t", "near", "x").collect()
     assert [(r.different_x, r.same_x) for r in rows] == [("  left", "painful ear left"), (None, None)]
+
+
+def test_neighbour_diff_takes_words_as_they_are(spark):
+    rows = [
+        ("a (b c", "x (b", "a  c", "a (b c"), ("abc a.c", "a.c", "abc ", "a.c"), ("1+1 * [x] {y} ^$|?", "1+1 [x] ?", " *  {y} ^$|", "1+1 * [x] {y} ^$|?"),
+        (r"a\\b c", r"a\\b", " c", r"a\\b"), ("x  y", "", "x  y", ""), ("x y", "  y ", "x ", "y"), ("abab ab", "ab abab", " ", "ababab"),
+    ]
+    df = spark.createDataFrame([r[:2] for r in rows], "t string, near string").coalesce(1)
+    found = neighbour_diff(df, "t", "near", "x").collect()
+    assert [(r.t, r.near, r.different_x, r.same_x) for r in found] == rows

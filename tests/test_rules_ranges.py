@@ -1,7 +1,9 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
+from codetree.operators import ranges as ranges_module
 from codetree.operators.ranges import range_assign, range_assign_interval
 from codetree.operators.rules import MENTION_STRICT, apply_rules_broadest_first, rule_mentions, rule_summary
 
@@ -133,6 +135,48 @@ def test_interval_is_the_narrowest_of_all(spark, seed):
     assert {r.icd10_code: r.id for r in got.collect()} == {c: narrowest(c) for c in codes}
 
 
+def swept(codes, ranges):
+    """The narrowest range of each code, by looking at all of them."""
+    out = {}
+    for code in codes:
+        held = [r for r in ranges if r[3] <= code <= r[4]]
+        start = max((r[3] for r in held), default=None)
+        end = min((r[4] for r in held if r[3] == start), default=None)
+        out[code] = max(((r[1], r[2]) for r in held if r[3:] == (start, end)), default=(0, None))[1]
+    return out
+
+
+@pytest.mark.parametrize("fan", [2, 3, 8])
+def test_interval_of_codes_of_any_length(spark, monkeypatch, fan):
+    monkeypatch.setattr(ranges_module, "FAN", fan)
+    rng = random.Random(fan)
+
+    def name():
+        return "".join(rng.choice("AB01") for _ in range(rng.randrange(1, 8)))
+
+    codes = sorted({name() for _ in range(300)})
+    ranges = [(1, i, f"r{i}", *(sorted((name(), name())) if i % 9 else (name(), name()))) for i in range(200)]
+    df = spark.createDataFrame([(1, c, c) for c in codes] + [(2, "A", "A"), (1, "none", None)], "year int, icd10_code string, category string")
+    got = {(r.year, r.icd10_code): r.id for r in range_assign_interval(df, spark.createDataFrame(ranges, "year int, ord int, id string, first string, last string")).collect()}
+    assert got == {(1, c): i for c, i in swept(codes, ranges).items()} | {(2, "A"): None, (1, "none"): None}
+
+
+def test_many_ranges_in_one_pair_of_characters(spark):
+    """100,000 ranges, nested and side by side, that all begin with the same two characters."""
+    n = 100_000
+    numbers = spark.range(n).select("id", F.lpad(F.col("id").cast("string"), 6, "0").alias("low"), F.lpad((2 * n - F.col("id")).cast("string"), 6, "0").alias("high"))
+    ranges = numbers.select(
+        F.lit(1).alias("year"), F.col("id").alias("ord"), F.concat(F.lit("r"), "id").alias("id"),
+        F.concat(F.lit("A1"), "low").alias("first"),
+        F.concat(F.lit("A1"), F.when(F.col("id") % 2 == 0, F.col("high")).otherwise(F.col("low"))).alias("last"),
+    )
+    codes = spark.range(0, 2 * n, 7).select(F.lit(1).alias("year"), F.concat(F.lit("A1"), F.lpad(F.col("id").cast("string"), 6, "0")).alias("code"))
+    found = range_assign_interval(codes, ranges, "code").select("code", "id")
+    got = {int(r.code[2:]): int(r.id[1:]) for r in found.collect()}
+    # An odd range holds its own number; an even one all from it to its mirror.
+    assert got == {c: c if c < n else next(i for i in range(min(2 * n - c, n - 1), -1, -1) if i % 2 == 0) for c in range(0, 2 * n, 7)}
+
+
 def test_summary_keeps_rules_without_a_note(spark):
     rules = spark.createDataFrame([(7, 1, "L20", None, "A", "x"), (7, 2, "L21", "to L21", "B", "y")], "year int, ord int, name string, note string, char string, text string")
     got = {tuple(r) for r in rule_summary(rule_mentions(rules)).collect()}

@@ -1,7 +1,10 @@
+import random
+from xml.etree import ElementTree
+
 import pytest
 from pyspark.sql import functions as F
 
-from codetree.operators.reshape import all_empty, cells, element_records, keep_filled
+from codetree.operators.reshape import all_empty, cells, decode_entities, element_records, ill_formed, keep_filled
 from codetree.sources import files
 from codetree.sources import tabular_xml as xml
 from tests import releases
@@ -162,7 +165,64 @@ def test_reshape(spark):
     assert [tuple(r) for r in cells(df.filter("row = 2"), "row").collect()] == [(2, 1, "x", "a"), (2, 2, "y", None)]
 
 
+def records(spark, texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, xml string").repartition(2)
+    found = element_records(df, "xml", ["id"]).orderBy("id", "pos").collect()
+    return [[tuple(r)[2:] for r in found if r.id == i] for i in range(len(texts))]
+
+
 def test_element_records(spark):
-    df = spark.createDataFrame([(1, '<a><b k="v" l="w">one</b><c>two</c></a>')], "id int, xml string")
-    rows = element_records(df, "xml", ["id"]).collect()
-    assert [(r.name, r.attributes, r.text) for r in rows] == [("b", {"k": "v", "l": "w"}, "one"), ("c", {}, "two")]
+    text = """<r><a x='1' y = "p 'q' > &lt;&#x41;">t</a><b y="2"/><c>1 &amp; 2 &amp;lt; &#233;&nbsp;</c><d>p<e>q<!-- <z> --></e>r<![CDATA[<f>&amp;</f>]]></d><e ></e></r>"""
+    (found,) = records(spark, [text])
+    assert found == [
+        (None, ["r"], "r", None, "t1 & 2 &lt; é&nbsp;pqr<f>&amp;</f>"),
+        (1, ["r", "a"], "a", {"x": "1", "y": "p 'q' > <A"}, "t"),
+        (1, ["r", "b"], "b", {"y": "2"}, ""),
+        (1, ["r", "c"], "c", None, "1 & 2 &lt; é&nbsp;"),
+        (1, ["r", "d"], "d", None, "pqr<f>&amp;</f>"),
+        (5, ["r", "d", "e"], "e", None, "q"),
+        (1, ["r", "e"], "e", None, ""),
+    ]
+
+
+def test_element_records_against_a_parser(spark):
+    """Random trees, written with all kinds of markup, against the standard library's parser."""
+    def tree(depth):
+        name = rng.choice(["a", "b", "n:c", "d-e", "é"])
+        own = "".join(f" {k}{rng.choice(['=', ' = '])}{q}{rng.choice(['', 'x', '&amp;>', '&#65;'])}{q}" for k, q in (("k", '"'), ("l.m", "'")) if rng.random() < 0.4)
+        if rng.random() < 0.2:
+            return f"<{name}{own}/>"
+        inside = [rng.choice(["", "t ", "&gt;", "\n", "<!-- <q> -->", "<![CDATA[ ]] <x/> ]]>", "<?pi <?>"]) if rng.random() < 0.5 or depth > 9 else tree(depth + 1) for _ in range(rng.randrange(5))]
+        return f"<{name}{own}>{''.join(inside)}</{name}{rng.choice(['', ' '])}>"
+
+    rng = random.Random(5)
+    texts = ["<?xml version='1.0'?><!DOCTYPE r [<!ELEMENT r ANY>]>\n<root>" + "".join(tree(1) for _ in range(8)) + "</root>\n" for _ in range(30)]
+
+    def walk(node, up, path, out):
+        path = [*path, node.tag]
+        me = len(out) + 1
+        out.append((up, path, node.tag, dict(node.attrib) or None, "".join(node.itertext())))
+        for child in node:
+            walk(child, me, path, out)
+        return out
+
+    want = [walk(ElementTree.fromstring(t.replace("n:c", "n_c")), None, [], []) for t in texts]
+    got = [[(u, [p.replace("n:c", "n_c") for p in path], n.replace("n:c", "n_c"), a, x) for u, path, n, a, x in rows] for rows in records(spark, texts)]
+    assert got == want and max(len(r[1]) for rows in want for r in rows) > 8
+
+
+def test_ill_formed_texts_are_left_out(spark):
+    bad = ["<r>", "</r>", "<r></s>", "<r/><s/>", "x<r/>", "<r>a < b</r>", "<a><b></a></b>", "<r a='1' a='2'/>", "plain", "<r", "<r><!-- </r>"]
+    good = [None, "", "<r/>", "\ufeff<r></r> "]
+    df = spark.createDataFrame(list(enumerate(bad + good)), "id int, xml string")
+    assert [len(x) for x in records(spark, bad + good)] == [0] * len(bad) + [0, 0, 1, 1]
+    assert sorted(r.id for r in ill_formed(df, "xml", ["id"]).collect()) == list(range(len(bad)))
+    assert element_records(df.limit(0), "xml", ["id"]).count() == 0
+
+
+def test_entities(spark):
+    texts = ["a&amp;lt;b", "&#233;&#xE9;&#x1F600;", "&unknown;", "& ;", "&;", "a&b", "&#xD800;", "&#0;", "&quot;&apos;&lt;&gt;", "&amp", "x"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").coalesce(1)
+    assert [r[0] for r in df.select(decode_entities(F.col("t"))).collect()] == [
+        "a&lt;b", "éé\U0001f600", "&unknown;", "& ;", "&;", "a&b", "&#xD800;", "&#0;", "\"'<>", "&amp", "x",
+    ]

@@ -1,3 +1,5 @@
+import unicodedata
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -97,3 +99,19 @@ def test_stop_words():
     words = description_stop_words()
     assert "im" in words and "right" not in words and "unspecified" in words
     assert len(words) == len(set(words))
+
+
+def test_every_listed_letter(spark):
+    """Each character of the Latin blocks and of the lists, alone and inside a word, against the stated tables."""
+    from codetree.functions.ascii import MULTIPLE, RANGES, SINGLE
+
+    letters = [chr(i) for first, end in RANGES for i in range(first, end)] + [*SINGLE, *MULTIPLE]
+
+    def plain(char):
+        base = unicodedata.normalize("NFD", char)[0]
+        return SINGLE.get(char) or MULTIPLE.get(char) or SINGLE.get(base) or MULTIPLE.get(base) or (base if base.isascii() else char)
+
+    texts = letters + [f"x{c}{c}y{c}" for c in letters] + ["".join(letters)]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    found = {r.i: r.a for r in df.select("i", to_ascii(F.col("t")).alias("a")).collect()}
+    assert [found[i] for i in range(len(texts))] == ["".join(map(plain, t)) for t in texts]
