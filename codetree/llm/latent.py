@@ -1,13 +1,19 @@
 """Benchmark decontamination by latent semantic retrieval.
 
-Words of the benchmark are the terms, each counted once per block. Passages of the
-corpus, runs of 32-word blocks as long as an item can reach over, are TF-IDF
-vectors over these terms. A randomised SVD of passages and items gives the latent space:
-tasks sum up ``A' (A random)`` over their passages, Spark adds the sums, and the factors
-follow from the small result (a one-pass Nystrom scheme). Every passage of every
-document is then compared with every item of a block of items; those with
-enough of the item's weight, or enough of its words wherever they stand, are verified by
-longest common subsequence, and near hits by the item's answer, its last sentence.
+Words of the benchmark are the terms. One pass over the corpus cuts every text into words
+and keeps where terms stand; all else reads that table. Passages, runs of
+32-word blocks as long as an item can reach over, are TF-IDF vectors that count a term once per block. A
+randomised SVD of all passages and items gives the latent space: tasks sum up
+``A' (A random)`` over their passages, Spark adds the sums, and the factors follow from
+the small result (a one-pass Nystrom scheme).
+
+The search compares every passage with every item in that space, blocks of passages
+against all items as matrix products. A passage is a candidate where its part
+along an item is at least ``COVERAGE`` of the item itself; nothing else makes it
+one. Candidates are verified by longest common subsequence, and near hits by
+the item's answer, its last sentence. A passage that holds an item whole has a part of about
+1 along it, whatever else it holds, and one that says an item in words that the corpus uses beside its own
+comes close to it as well.
 """
 
 from __future__ import annotations
@@ -21,19 +27,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from codetree.llm.tables import free_name, rows_by_key
-from codetree.llm.words import Words, cut_words, slices
+from codetree.llm.words import cut_words, slices
 from codetree.staging import stage
 
 BLOCK = 32  # words
-RANK = 256
-# Items compared with the corpus at a time; longer items are cut into parts of ITEM_WORDS.
-BLOCK_ITEMS = 400
+RANK = 96
+# Items, or parts of ITEM_WORDS of longer ones, compared with the corpus at a time.
+BLOCK_ITEMS = 1_000
 ITEM_WORDS = 224
 COVERAGE = 0.45
 LCS_SURE, LCS_WITH_ANSWER, ANSWER = 0.75, 0.55, 0.8
 _MASK = (1 << 20) - 1
-_TERM_ROWS = 512  # terms per row of a partial sum
+_TERM_ROWS = 16  # terms per row of a partial sum
 _CHUNK = 1 << 15  # words whose vectors are held at a time
+_HELD = 1 << 13  # blocks of passages held at a time
 
 
 @dataclass
@@ -47,17 +54,16 @@ class Item:
 
 @dataclass
 class Terms:
-    """Terms in order of their hashes, their weights, and a quick test for words that are none."""
+    """Terms in order of their hashes, and a quick test for words that are none."""
 
     hashes: np.ndarray
-    weight: np.ndarray
     quick: np.ndarray
 
     @staticmethod
-    def of(hashes: np.ndarray, weight: np.ndarray) -> Terms:
+    def of(hashes: np.ndarray) -> Terms:
         quick = np.zeros(_MASK + 1, bool)
         quick[(hashes & np.uint64(_MASK)).astype(np.int64)] = True
-        return Terms(hashes, weight, quick)
+        return Terms(hashes, quick)
 
     def find(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places of words that are terms, and which terms."""
@@ -82,6 +88,18 @@ def cut_items(texts: list[tuple[int, str]]) -> list[Item]:
     return out
 
 
+def _parts(wanted: DataFrame) -> DataFrame:
+    """(item_id, words, answer) of all items or parts of them, words as signed hashes; staged."""
+
+    def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            items = cut_items(list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())))
+            lists = [pa.array([np.array(x, np.uint64).view(np.int64) for x in c], pa.list_(pa.int64())) for c in ([i.words for i in items], [i.answer for i in items])]
+            yield pa.RecordBatch.from_arrays([pa.array([i.item_id for i in items], pa.int64()), *lists], ["item_id", "words", "answer"])
+
+    return stage(wanted.mapInArrow(work, "item_id long, words array<long>, answer array<long>"), "items")
+
+
 def common_subsequence(item: list[int], window: list[int]) -> int:
     """Length of the longest common subsequence, one bit per word of the item."""
     masks: dict[int, int] = {}
@@ -96,22 +114,78 @@ def common_subsequence(item: list[int], window: list[int]) -> int:
     return len(item) - state.bit_count()
 
 
-def _blocks(words: Words, longest: int) -> tuple[np.ndarray, np.ndarray, int]:
-    """The block of every word, the first block of every text, and the number of blocks.
+def _term_places(rows: DataFrame, terms: Terms) -> DataFrame:
+    """(id, n_words, gaps, terms) of the rows with any term: which stand there, and how many words after the one before; staged."""
+    held = rows.sparkSession.sparkContext.broadcast(terms)
 
-    After each text there are ``longest - 1`` empty blocks, so no run of blocks has words of two texts.
-    """
-    counts = np.diff(words.first)
-    own = -(-counts // BLOCK) + (longest - 1)
-    first = np.concatenate([[0], np.cumsum(own)])
-    place = np.arange(len(words.hash)) - np.repeat(words.first[:-1], counts)
-    return np.repeat(first[:-1], counts) + place // BLOCK, first, int(first[-1])
+    def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low, high in slices(batch.column(1)):
+                words = cut_words(batch.column(1).slice(low, high - low))
+                at, term = held.value.find(words.hash)
+                bounds = np.searchsorted(at, words.first)
+                gaps = np.diff(at, prepend=0)
+                first = bounds[:-1][np.diff(bounds) > 0]
+                gaps[first] = at[first] - words.first[:-1][np.diff(bounds) > 0]
+                lists = [pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(x.astype(np.int32))) for x in (gaps, term)]
+                sizes = pa.array(np.diff(words.first).astype(np.int32))
+                found = pa.RecordBatch.from_arrays([batch.column(0).slice(low, high - low), sizes, *lists], ["id", "n_words", "gaps", "terms"])
+                yield found.filter(pa.array(np.diff(bounds) > 0))
+
+    return stage(rows.mapInArrow(work, "id long, n_words int, gaps array<int>, terms array<int>"), "term-places")
 
 
-def _once(at: np.ndarray, term: np.ndarray, block: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The block and the term of each pair of them, once, in order of blocks."""
-    pairs = np.unique(block[at] * n + term)
-    return pairs // n, pairs % n
+@dataclass
+class Stretch:
+    """Blocks of several texts or parts of them, in a row, with empty blocks between texts.
+
+    ``block`` and ``term`` are the pairs of them, once; ``word`` and ``which`` all terms and their places in
+    words of the row of blocks. Stretch ``s`` holds blocks from ``first[s]`` on of row ``row[s]``, whose block
+    ``skipped[s]`` is the first, and its passages begin at the first ``starts[s]`` of them.
+    """
+
+    block: np.ndarray
+    term: np.ndarray
+    word: np.ndarray
+    which: np.ndarray
+    n: int
+    row: np.ndarray
+    first: np.ndarray
+    skipped: np.ndarray
+    starts: np.ndarray
+
+
+def _stretches(batch: pa.RecordBatch, longest: int, n_terms: int) -> Iterator[Stretch]:
+    """The blocks of all rows, about ``_HELD`` at a time; passages of up to ``longest`` blocks lie in one stretch."""
+    sizes = batch.column(1).to_numpy(zero_copy_only=False)
+    gaps, terms = (batch.column(c) for c in (2, 3))
+    flat = terms.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+    steps = gaps.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+    bounds = np.concatenate([[0], np.cumsum(terms.value_lengths().to_numpy(zero_copy_only=False))])
+    held: list[tuple] = []
+    at = 0
+
+    def put() -> Stretch:
+        word = np.concatenate([p[0] for p in held])
+        which = np.concatenate([p[1] for p in held])
+        pairs = np.unique((word // BLOCK) * n_terms + which)
+        columns = (np.array([p[i] for p in held], np.int64) for i in range(2, 6))
+        return Stretch(pairs // n_terms, pairs % n_terms, word, which, at, *columns)
+
+    for row, size in enumerate(sizes.tolist()):
+        own = slice(bounds[row], bounds[row + 1])
+        word, which = np.cumsum(steps[own]), flat[own]
+        blocks = -(-size // BLOCK)
+        for low in range(0, blocks, _HELD):
+            starts = min(_HELD, blocks - low)
+            a, b = np.searchsorted(word, [low * BLOCK, (low + starts + longest - 1) * BLOCK])
+            held.append((word[a:b] - low * BLOCK + at * BLOCK, which[a:b], row, at, low, starts))
+            at += starts + longest - 1
+            if at >= _HELD:
+                yield put()
+                held, at = [], 0
+    if held:
+        yield put()
 
 
 def _sums(table: np.ndarray, term: np.ndarray, block: np.ndarray, n: int) -> np.ndarray:
@@ -132,85 +206,79 @@ def _runs(blocks: np.ndarray, length: int) -> np.ndarray:
     return out
 
 
-def _block_counts(rows: DataFrame, hashes: np.ndarray) -> tuple[np.ndarray, int]:
-    """In how many blocks of the whole corpus each word occurs, and the number of blocks."""
-    held = rows.sparkSession.sparkContext.broadcast(Terms.of(hashes, np.ones(len(hashes))))
+def _block_counts(places: DataFrame, n_terms: int) -> tuple[np.ndarray, int]:
+    """In how many blocks of the whole corpus each term occurs, and the number of blocks of texts with any term."""
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        terms = held.value
-        counts, total = np.zeros(len(terms.hashes), np.int64), 0
+        counts, total = np.zeros(n_terms, np.int64), 0
         for batch in batches:
-            for low, high in slices(batch.column(1)):
-                words = cut_words(batch.column(1).slice(low, high - low))
-                block, _, n = _blocks(words, 1)
-                at, term = terms.find(words.hash)
-                pairs = np.unique(block[at] * len(terms.hashes) + term)
-                counts += np.bincount(pairs % len(terms.hashes), minlength=len(counts))
-                total += n
+            for held in _stretches(batch, 1, n_terms):
+                counts += np.bincount(held.term, minlength=n_terms)
+                total += held.n
         found = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.append(found, -1)), pa.array(np.append(counts[found], total))], ["term", "n"]
-        )
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(found, -1)), pa.array(np.append(counts[found], total))], ["term", "n"])
 
-    sums = rows.mapInArrow(work, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow().to_pandas()
-    counts = np.zeros(len(hashes), np.int64)
+    sums = places.mapInArrow(work, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow().to_pandas()
+    counts = np.zeros(n_terms, np.int64)
     own = sums[sums["term"] >= 0]
     counts[own["term"].to_numpy()] = own["n"].to_numpy()
     return counts, int(sums.loc[sums["term"] < 0, "n"].sum())
 
 
-def _gram_times(rows: DataFrame, terms: Terms, random: np.ndarray) -> np.ndarray:
-    """``A' A random`` over all passages (two blocks each) of the rows, added up by Spark."""
-    context = rows.sparkSession.sparkContext
-    held, given = context.broadcast(terms), context.broadcast(random.astype(np.float32))
+def _gram_times(places: DataFrame, weight: np.ndarray, random: np.ndarray) -> np.ndarray:
+    """``A' A random`` over all passages (two blocks each), added up by Spark.
+
+    A task sends its sums in rows of ``_TERM_ROWS`` terms, so one key's rows are small however many tasks there are.
+    """
+    held = places.sparkSession.sparkContext.broadcast((weight, random.astype(np.float32)))
     rank = random.shape[1]
 
     def partial(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        terms, random = held.value, given.value
-        weighted = (random * terms.weight[:, None]).astype(np.float32)
-        total = np.zeros((len(terms.hashes), rank))
+        weight, random = held.value
+        weighted = (random * weight[:, None]).astype(np.float32)
+        total = np.zeros((len(weight), rank))
         for batch in batches:
-            for low, high in slices(batch.column(1)):
-                words = cut_words(batch.column(1).slice(low, high - low))
-                block, _, n = _blocks(words, 2)
-                own, term = _once(*terms.find(words.hash), block, len(terms.hashes))
-                y = _runs(_sums(weighted, term, own, n), 2)
+            for s in _stretches(batch, 2, len(weight)):
+                y = _runs(_sums(weighted, s.term, s.block, s.n), 2)
                 y[1:] += y[:-1].copy()  # a block is in the passage that starts there and in the one before
-                for at in range(0, len(term), _CHUNK):
-                    some, block = term[at : at + _CHUNK], own[at : at + _CHUNK]
+                for at in range(0, len(s.term), _CHUNK):
+                    some, block = s.term[at : at + _CHUNK], s.block[at : at + _CHUNK]
                     order = np.argsort(some, kind="stable")
                     start = np.flatnonzero(np.append(True, np.diff(some[order]) != 0))
                     total[some[order][start]] += np.add.reduceat(y[block[order]], start, axis=0)
-        total *= terms.weight[:, None]
-        for low in range(0, len(total), _TERM_ROWS):
-            yield pa.RecordBatch.from_arrays([pa.array([low]), pa.array([total[low : low + _TERM_ROWS].tobytes()])], ["low", "sums"])
+        total = (total * weight[:, None]).astype(np.float32)
+        lows = list(range(0, len(total), _TERM_ROWS))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(lows, pa.int64()), pa.array([total[low : low + _TERM_ROWS].tobytes() for low in lows], pa.binary())], ["low", "sums"]
+        )
 
     def add(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (low,), found in rows_by_key(batches, ["low"]):
-            total = sum(np.frombuffer(x.as_py()) for x in found["sums"])
+            total = sum(np.frombuffer(x.as_py(), np.float32).astype(float) for x in found["sums"])
             yield pa.RecordBatch.from_arrays([pa.array([low]), pa.array([total.tobytes()])], ["low", "sums"])
 
-    parts = rows.mapInArrow(partial, "low long, sums binary").repartition("low").sortWithinPartitions("low")
-    out = np.zeros((len(terms.hashes), rank))
-    for row in parts.mapInArrow(add, "low long, sums binary").toLocalIterator():
-        own = np.frombuffer(row["sums"]).reshape(-1, rank)
-        out[row["low"] : row["low"] + len(own)] = own
+    parts = places.mapInArrow(partial, "low long, sums binary").repartition("low").sortWithinPartitions("low")
+    out = np.zeros((len(weight), rank))
+    found = parts.mapInArrow(add, "low long, sums binary").toArrow()
+    for low, sums in zip(found["low"].to_pylist(), found["sums"].to_pylist()):
+        own = np.frombuffer(sums).reshape(-1, rank)
+        out[low : low + len(own)] = own
     return out
 
 
-def latent_space(rows: DataFrame, terms: Terms, items: np.ndarray, rank: int, seed: int = 7) -> np.ndarray:
-    """Right singular vectors (terms x rank) of the passages of ``rows`` and the items, the largest first.
+def latent_space(places: DataFrame, weight: np.ndarray, items: np.ndarray, rank: int, seed: int = 7) -> np.ndarray:
+    """Right singular vectors (terms x rank) of all passages and the items, the largest first.
 
     Items, given as rows of weights, count together as much as all passages.
     """
-    random = np.random.default_rng(seed).standard_normal((len(terms.hashes), min(len(terms.hashes), rank + 16)))
-    gram = _gram_times(rows, terms, random)
+    random = np.random.default_rng(seed).standard_normal((len(weight), min(len(weight), rank + 16)))
+    gram = _gram_times(places, weight, random)
     own = items.T @ (items @ random)
     gram += own * (np.linalg.norm(gram) / max(np.linalg.norm(own), 1e-12) or 1.0)
     if not np.any(gram):
         gram = own
     # Nystrom: A'A is about gram (random' gram)^-1 gram'; a small shift keeps it positive.
-    shift = 1e-9 * np.linalg.norm(gram)
+    shift = 1e-6 * np.linalg.norm(gram)
     shifted = gram + shift * random
     core = random.T @ shifted
     lower = np.linalg.cholesky((core + core.T) / 2 + shift * np.eye(core.shape[0]))
@@ -218,54 +286,47 @@ def latent_space(rows: DataFrame, terms: Terms, items: np.ndarray, rank: int, se
     return left[:, :rank]
 
 
-def _search(rows: DataFrame, terms: Terms, space: np.ndarray, items: list[Item], weights: np.ndarray) -> DataFrame:
-    """``(id, item_id, start_word, end_word, cosine, lcs, answer)`` of verified passages."""
+FOUND = "id long, item_id long, start_word int, end_word int, cosine double, lcs double, answer double"
+
+
+def _search(places: DataFrame, weight: np.ndarray, space: np.ndarray, items: list[Item], weights: np.ndarray, coverage: float) -> DataFrame:
+    """(id, item_id, start_word, end_word, cosine, lcs, answer) of verified passages. Words of ``items`` are terms."""
     latent = (weights @ space).astype(np.float32)
     norms = np.linalg.norm(latent, axis=1)
-    kept = [i for i in range(len(items)) if norms[i] > 0]
     by_length: dict[int, list[int]] = {}
-    for i in kept:
-        by_length.setdefault(-(-len(items[i].words) // BLOCK) + 1, []).append(i)
-    counts = np.zeros((len(terms.hashes), len(items)), np.float32)
-    for i, item in enumerate(items):
-        np.add.at(counts[:, i], terms.find(np.array(item.words, np.uint64))[1], 1)
-    sizes = np.array([len(item.words) for item in items], np.float32)
+    for i in range(len(items)):
+        if norms[i] > 0:
+            by_length.setdefault(-(-len(items[i].words) // BLOCK) + 1, []).append(i)
     groups = [(length, own, latent[own] / norms[own][:, None], norms[own]) for length, own in sorted(by_length.items())]
-    vectors = (space * terms.weight[:, None]).astype(np.float32)
-    held = rows.sparkSession.sparkContext.broadcast((terms, vectors, counts, sizes, groups, items))
+    vectors = (space * weight[:, None]).astype(np.float32)
+    held = places.sparkSession.sparkContext.broadcast((vectors, groups, items))
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        terms, vectors, counts, sizes, groups, items = held.value
+        vectors, groups, items = held.value
         longest = max((length for length, *_ in groups), default=1)
         for batch in batches:
             out: list[tuple] = []
-            for low, high in slices(batch.column(1)):
-                words = cut_words(batch.column(1).slice(low, high - low))
-                block, first, n = _blocks(words, longest)
-                owner, term = _once(*terms.find(words.hash), block, len(terms.hashes))
-                if not len(term):
-                    continue
-                sums, present = _sums(vectors, term, owner, n), _sums(counts, term, owner, n)
+            sizes = batch.column(1).to_pylist()
+            for s in _stretches(batch, longest, len(vectors)):
+                sums = _sums(vectors, s.term, s.block, s.n)
                 for length, own, unit, norm in groups:
                     passages = _runs(sums, length)
-                    size = np.linalg.norm(passages, axis=1)
-                    # No common subsequence is longer than the item's words that stand in the passage at all.
-                    likely = (passages @ unit.T >= COVERAGE * norm) | (_runs(present[:, own], length) >= LCS_WITH_ANSWER * sizes[own] - 1e-3)
-                    hit, which = np.nonzero(likely)
-                    for p, i in zip(hit.tolist(), which.tolist()):
-                        text = int(np.searchsorted(first, p, "right")) - 1
-                        start = int(words.first[text]) + (p - int(first[text])) * BLOCK
-                        end = min(start + length * BLOCK, int(words.first[text + 1]))
-                        window = words.hash[start:end].tolist()
-                        item = items[own[i]]
+                    for p, i in zip(*(x.tolist() for x in np.nonzero(passages @ unit.T >= coverage * norm))):
+                        part = int(np.searchsorted(s.first, p, "right")) - 1
+                        if p - s.first[part] >= s.starts[part]:
+                            continue  # belongs to the next stretch of the text, or to none
+                        row, item = int(s.row[part]), items[own[i]]
+                        start = int(p - s.first[part] + s.skipped[part]) * BLOCK
+                        end = min(start + length * BLOCK, sizes[row])
+                        low, high = np.searchsorted(s.word, [p * BLOCK, p * BLOCK + end - start])
+                        window = s.which[low:high].tolist()
                         lcs = common_subsequence(item.words, window) / len(item.words)
                         if lcs < LCS_WITH_ANSWER:
                             continue
                         answer = common_subsequence(item.answer, window) / len(item.answer)
                         if lcs >= LCS_SURE or answer >= ANSWER:
-                            at_word = start - int(words.first[text])
-                            cosine = float((passages[p] @ unit[i]) / max(size[p], 1e-12))
-                            out.append((low + text, item.item_id, at_word, at_word + end - start, cosine, lcs, answer))
+                            cosine = float((passages[p] @ unit[i]) / max(np.linalg.norm(passages[p]), 1e-12))
+                            out.append((row, item.item_id, start, end, cosine, lcs, answer))
             if out:
                 found, *columns = zip(*out)
                 kinds = [pa.int64(), pa.int32(), pa.int32(), pa.float64(), pa.float64(), pa.float64()]
@@ -274,18 +335,19 @@ def _search(rows: DataFrame, terms: Terms, space: np.ndarray, items: list[Item],
                     ["id", "item_id", "start_word", "end_word", "cosine", "lcs", "answer"],
                 )
 
-    return rows.mapInArrow(work, "id long, item_id long, start_word int, end_word int, cosine double, lcs double, answer double")
+    return places.mapInArrow(work, FOUND)
 
 
-def _weights(items: list[Item], terms: Terms) -> np.ndarray:
-    out = np.zeros((len(items), len(terms.hashes)))
+def _weights(items: list[Item], weight: np.ndarray) -> np.ndarray:
+    out = np.zeros((len(items), len(weight)))
     for i, item in enumerate(items):
-        _, term = terms.find(np.array(item.words, np.uint64))
-        out[i, term] = terms.weight[term]
+        out[i, item.words] = weight[item.words]
     return out
 
 
-def leaks(df: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text: str = "text", rank: int = RANK) -> DataFrame:
+def leaks(
+    df: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text: str = "text", rank: int = RANK, coverage: float = COVERAGE
+) -> DataFrame:
     """Documents that hold an item of ``benchmark`` (item_id, text), also with words changed.
 
     Letter case makes no difference.
@@ -294,28 +356,34 @@ def leaks(df: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text:
     cosine in the latent space, and the shares of the item's and of its answer's words in the common subsequence.
     A leak has ``LCS_SURE`` of the item's words in order, or
     ``LCS_WITH_ANSWER`` of them and ``ANSWER`` of the answer's. Null and empty texts and items leak nothing;
-    rows with the same id count as one document. The driver holds the items of one block at a time,
-    ``BLOCK_ITEMS`` on average, and their terms.
+    rows with the same id count as one document; ids are numbers. Longer items are cut into parts of ``ITEM_WORDS`` words, each
+    searched for itself. The driver holds ``BLOCK_ITEMS`` parts at a time, on average, and their terms; each
+    such block of parts is one round over the corpus, so the plan and the scans grow with the benchmark, by a thousandth.
     """
-    rows = df.select(F.col(id_column).cast("long").alias("id"), F.lower(text).alias("text"))
+    rows = df.select(F.col(id_column).cast("long").alias("id"), F.lower(text).alias("text")).filter("text IS NOT NULL")
     wanted = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.lower("text").alias("text")).filter("text is not null").distinct()
-    wanted = stage(wanted, "items")
-    blocks = max(1, -(-wanted.count() // BLOCK_ITEMS))
+    parts = _parts(wanted)
     found: DataFrame | None = None
+    blocks = max(1, -(-parts.count() // BLOCK_ITEMS))
     for k in range(blocks):
-        texts = wanted.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).orderBy("item_id", "text").collect()
-        items = cut_items([(r["item_id"], r["text"]) for r in texts])
-        if not items:
+        own = parts.filter(F.pmod(F.xxhash64("item_id", "words"), F.lit(blocks)) == k).orderBy("item_id", "words").collect()
+        if not own:
             continue
-        hashes = np.unique(np.array([w for i in items for w in i.words], np.uint64))
-        counts, total = _block_counts(rows, hashes)
-        terms = Terms.of(hashes, np.log((total + 1) / (counts + 1)) + 1)
-        weights = _weights(items, terms)
-        space = latent_space(rows, terms, weights, rank)
-        own_found = _search(rows, terms, space, items, weights)
+        hashes = np.unique(np.concatenate([np.array(r["words"], np.int64) for r in own]).view(np.uint64))
+
+        def numbered(words: list[int]) -> list[int]:
+            return np.searchsorted(hashes, np.array(words, np.int64).view(np.uint64)).tolist()
+
+        items = [Item(r["item_id"], numbered(r["words"]), numbered(r["answer"])) for r in own]
+        places = _term_places(rows, Terms.of(hashes))
+        counts, total = _block_counts(places, len(hashes))
+        weight = np.log((total + 1) / (counts + 1)) + 1
+        weights = _weights(items, weight)
+        space = latent_space(places, weight, weights, rank)
+        own_found = stage(_search(places, weight, space, items, weights, coverage), "leaks")
         found = own_found if found is None else found.unionByName(own_found)
     if found is None:
-        found = df.sparkSession.createDataFrame([], "id long, item_id long, start_word int, end_word int, cosine double, lcs double, answer double")
+        found = df.sparkSession.createDataFrame([], FOUND)
     best = found.groupBy("id", "item_id").agg(F.max(F.struct("lcs", "answer", (-F.col("start_word")).alias("early"), "end_word", "cosine")).alias("best"))
     return best.select(
         F.col("id").alias(id_column), "item_id", (-F.col("best.early")).alias("start_word"), "best.end_word", "best.cosine", "best.lcs", "best.answer"
