@@ -9,7 +9,8 @@ the small result (a one-pass Nystrom scheme).
 
 The search compares every passage with every item in that space, blocks of passages
 against all items as matrix products. A passage is a candidate where its part
-along an item is at least ``COVERAGE`` of the item itself; nothing else makes it
+along an item is at least ``COVERAGE`` of the item itself, or where the share of the item's words in it,
+as the space gives them back, is at least ``SHARE``; the latter is for items whose weight lies in few words. Nothing else makes it
 one. Candidates are verified by longest common subsequence, and near hits by
 the item's answer, its last sentence. A passage that holds an item whole has a part of about
 1 along it, whatever else it holds, and one that says an item in words that the corpus uses beside its own
@@ -35,7 +36,7 @@ RANK = 96
 # Items, or parts of ITEM_WORDS of longer ones, compared with the corpus at a time.
 BLOCK_ITEMS = 1_000
 ITEM_WORDS = 224
-COVERAGE = 0.45
+COVERAGE, SHARE = 0.45, 0.5
 LCS_SURE, LCS_WITH_ANSWER, ANSWER = 0.75, 0.55, 0.8
 _MASK = (1 << 20) - 1
 _TERM_ROWS = 16  # terms per row of a partial sum
@@ -289,7 +290,20 @@ def latent_space(places: DataFrame, weight: np.ndarray, items: np.ndarray, rank:
 FOUND = "id long, item_id long, start_word int, end_word int, cosine double, lcs double, answer double"
 
 
-def _search(places: DataFrame, weight: np.ndarray, space: np.ndarray, items: list[Item], weights: np.ndarray, coverage: float) -> DataFrame:
+def _shares(items: list[Item], weight: np.ndarray, often: np.ndarray, space: np.ndarray, length: int) -> np.ndarray:
+    """(items x rank) such that a passage's product with a row is about the share of the item's words in it.
+
+    A term that stands in the part ``often`` of all blocks is in so many of a passage's ``length`` blocks, if in one.
+    """
+    out = np.zeros((len(items), len(weight)))
+    for i, item in enumerate(items):
+        np.add.at(out[i], item.words, 1 / len(item.words))
+    return (out / (weight * (1 + (length - 1) * often))) @ space
+
+
+def _search(
+    places: DataFrame, weight: np.ndarray, often: np.ndarray, space: np.ndarray, items: list[Item], weights: np.ndarray, coverage: float, share: float
+) -> DataFrame:
     """(id, item_id, start_word, end_word, cosine, lcs, answer) of verified passages. Words of ``items`` are terms."""
     latent = (weights @ space).astype(np.float32)
     norms = np.linalg.norm(latent, axis=1)
@@ -297,7 +311,10 @@ def _search(places: DataFrame, weight: np.ndarray, space: np.ndarray, items: lis
     for i in range(len(items)):
         if norms[i] > 0:
             by_length.setdefault(-(-len(items[i].words) // BLOCK) + 1, []).append(i)
-    groups = [(length, own, latent[own] / norms[own][:, None], norms[own]) for length, own in sorted(by_length.items())]
+    groups = [
+        (length, own, latent[own] / norms[own][:, None], norms[own], _shares([items[i] for i in own], weight, often, space, length).astype(np.float32))
+        for length, own in sorted(by_length.items())
+    ]
     vectors = (space * weight[:, None]).astype(np.float32)
     held = places.sparkSession.sparkContext.broadcast((vectors, groups, items))
 
@@ -309,9 +326,10 @@ def _search(places: DataFrame, weight: np.ndarray, space: np.ndarray, items: lis
             sizes = batch.column(1).to_pylist()
             for s in _stretches(batch, longest, len(vectors)):
                 sums = _sums(vectors, s.term, s.block, s.n)
-                for length, own, unit, norm in groups:
+                for length, own, unit, norm, words in groups:
                     passages = _runs(sums, length)
-                    for p, i in zip(*(x.tolist() for x in np.nonzero(passages @ unit.T >= coverage * norm))):
+                    likely = (passages @ unit.T >= coverage * norm) | (passages @ words.T >= share)
+                    for p, i in zip(*(x.tolist() for x in np.nonzero(likely))):
                         part = int(np.searchsorted(s.first, p, "right")) - 1
                         if p - s.first[part] >= s.starts[part]:
                             continue  # belongs to the next stretch of the text, or to none
@@ -346,7 +364,13 @@ def _weights(items: list[Item], weight: np.ndarray) -> np.ndarray:
 
 
 def leaks(
-    df: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text: str = "text", rank: int = RANK, coverage: float = COVERAGE
+    df: DataFrame,
+    benchmark: DataFrame,
+    id_column: str = "doc_id",
+    text: str = "text",
+    rank: int = RANK,
+    coverage: float = COVERAGE,
+    share: float = SHARE,
 ) -> DataFrame:
     """Documents that hold an item of ``benchmark`` (item_id, text), also with words changed.
 
@@ -380,7 +404,7 @@ def leaks(
         weight = np.log((total + 1) / (counts + 1)) + 1
         weights = _weights(items, weight)
         space = latent_space(places, weight, weights, rank)
-        own_found = stage(_search(places, weight, space, items, weights, coverage), "leaks")
+        own_found = stage(_search(places, weight, counts / max(total, 1), space, items, weights, coverage, share), "leaks")
         found = own_found if found is None else found.unionByName(own_found)
     if found is None:
         found = df.sparkSession.createDataFrame([], FOUND)

@@ -66,7 +66,7 @@ def test_recall_of_the_latent_search(planted):
 
 def test_without_the_space_nothing_is_found(planted):
     docs, benchmark, want = planted
-    assert pairs(latent.leaks(docs, benchmark, coverage=float("inf"))) == set()
+    assert pairs(latent.leaks(docs, benchmark, coverage=float("inf"), share=float("inf"))) == set()
     assert pairs(latent.leaks(docs, benchmark, rank=1)) != want
 
 
