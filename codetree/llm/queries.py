@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from codetree.llm import compact_windows, dac, fill_middle, host_rank, jaccard_join, kneser_ney, language_id, latent, packing
 from codetree.llm import secret_scan, token_alignment, winnowing, wrapper
+from codetree.llm.tables import free_shuffles
 from codetree.staging import checkpoint_dir
 
 TOKENIZER = "word_bpe_49k.json"
@@ -32,9 +33,23 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+#: Rows of whole texts that go to a Python worker at once.
+BATCH_ROWS = 1_000
+
+
 def ready(spark: SparkSession) -> SparkSession:
-    """Lets Python workers import this package where it is not installed but lies at the same place."""
-    spark.sparkContext.environment.setdefault("PYTHONPATH", _ROOT)
+    """Lets Python workers import this package where it is not installed but lies at the same place.
+
+    Batches of texts are kept small, workers give freed memory back to the machine, and what earlier jobs shuffled goes.
+    """
+    environment = spark.sparkContext.environment
+    environment.setdefault("PYTHONPATH", _ROOT)
+    environment.setdefault("ARROW_DEFAULT_MEMORY_POOL", "system")
+    environment.setdefault("MALLOC_ARENA_MAX", "2")
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(rows)) <= BATCH_ROWS:
+        spark.conf.set(rows, BATCH_ROWS)
+    free_shuffles(spark)
     return spark
 
 

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+import gc
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from codetree.staging import stage
+
 # Bits of a membership filter: 8 MB, whatever the table holds.
 FILTER_BITS = 1 << 26
 
@@ -67,13 +70,18 @@ def may_hold(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return (bits[place >> 6] >> (place & 63).astype(np.uint64)) & np.uint64(1) == 1
 
 
-def map_arrow(df: DataFrame, work: Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    return df.mapInArrow(work, schema)
-
+def free_shuffles(spark: SparkSession) -> None:
+    """Has Spark delete the shuffle files of finished jobs now.
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    Its cleaner drops what nothing refers to any more, but only learns of it when the driver's heap is
+    collected, which on a quiet driver is long after the executors' disks have filled.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
 
 
-def crc_of(column: Column) -> Column:
-    return F.crc32(column.cast("string").cast("binary"))
+def settled(df: DataFrame, label: str) -> DataFrame:
+    """``df`` as a staged table, with the shuffle files of making it gone."""
+    out = stage(df, label)
+    free_shuffles(df.sparkSession)
+    return out
