@@ -32,7 +32,7 @@ from codetree.llm.words import cut_words, slices
 from codetree.staging import stage
 
 BLOCK = 32  # words
-RANK = 96
+RANK = 64
 # Items, or parts of ITEM_WORDS of longer ones, compared with the corpus at a time.
 BLOCK_ITEMS = 1_000
 ITEM_WORDS = 224
@@ -116,22 +116,32 @@ def common_subsequence(item: list[int], window: list[int]) -> int:
 
 
 def _term_places(rows: DataFrame, terms: Terms) -> DataFrame:
-    """(id, n_words, gaps, terms) of the rows with any term: which stand there, and how many words after the one before; staged."""
+    """(id, n_words, gaps, terms) of the rows with any term: which stand there, and how many words after the one before; staged.
+
+    A term that its block has had already is stored as -1 minus its number.
+    """
     held = rows.sparkSession.sparkContext.broadcast(terms)
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n_terms = len(held.value.hashes)
         for batch in batches:
             for low, high in slices(batch.column(1)):
                 words = cut_words(batch.column(1).slice(low, high - low))
                 at, term = held.value.find(words.hash)
                 bounds = np.searchsorted(at, words.first)
-                gaps = np.diff(at, prepend=0)
-                first = bounds[:-1][np.diff(bounds) > 0]
-                gaps[first] = at[first] - words.first[:-1][np.diff(bounds) > 0]
-                lists = [pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(x.astype(np.int32))) for x in (gaps, term)]
-                sizes = pa.array(np.diff(words.first).astype(np.int32))
-                found = pa.RecordBatch.from_arrays([batch.column(0).slice(low, high - low), sizes, *lists], ["id", "n_words", "gaps", "terms"])
-                yield found.filter(pa.array(np.diff(bounds) > 0))
+                sizes = np.diff(words.first)
+                text = np.repeat(np.arange(high - low), np.diff(bounds))
+                place = at - words.first[text]
+                gaps = np.diff(place, prepend=0)
+                has = np.diff(bounds) > 0
+                gaps[bounds[:-1][has]] = place[bounds[:-1][has]]
+                first_block = np.cumsum(sizes // BLOCK + 1) - (sizes // BLOCK + 1)
+                _, new = np.unique((first_block[text] + place // BLOCK) * n_terms + term, return_index=True)
+                marked = -1 - term
+                marked[new] = term[new]
+                lists = [pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(x.astype(np.int32))) for x in (gaps, marked)]
+                columns = [batch.column(0).slice(low, high - low), pa.array(sizes.astype(np.int32)), *lists]
+                yield pa.RecordBatch.from_arrays(columns, ["id", "n_words", "gaps", "terms"]).filter(pa.array(has))
 
     return stage(rows.mapInArrow(work, "id long, n_words int, gaps array<int>, terms array<int>"), "term-places")
 
@@ -156,7 +166,7 @@ class Stretch:
     starts: np.ndarray
 
 
-def _stretches(batch: pa.RecordBatch, longest: int, n_terms: int) -> Iterator[Stretch]:
+def _stretches(batch: pa.RecordBatch, longest: int) -> Iterator[Stretch]:
     """The blocks of all rows, about ``_HELD`` at a time; passages of up to ``longest`` blocks lie in one stretch."""
     sizes = batch.column(1).to_numpy(zero_copy_only=False)
     gaps, terms = (batch.column(c) for c in (2, 3))
@@ -169,9 +179,9 @@ def _stretches(batch: pa.RecordBatch, longest: int, n_terms: int) -> Iterator[St
     def put() -> Stretch:
         word = np.concatenate([p[0] for p in held])
         which = np.concatenate([p[1] for p in held])
-        pairs = np.unique((word // BLOCK) * n_terms + which)
+        once = which >= 0
         columns = (np.array([p[i] for p in held], np.int64) for i in range(2, 6))
-        return Stretch(pairs // n_terms, pairs % n_terms, word, which, at, *columns)
+        return Stretch(word[once] // BLOCK, which[once], word, np.where(once, which, -1 - which), at, *columns)
 
     for row, size in enumerate(sizes.tolist()):
         own = slice(bounds[row], bounds[row + 1])
@@ -213,7 +223,7 @@ def _block_counts(places: DataFrame, n_terms: int) -> tuple[np.ndarray, int]:
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, total = np.zeros(n_terms, np.int64), 0
         for batch in batches:
-            for held in _stretches(batch, 1, n_terms):
+            for held in _stretches(batch, 1):
                 counts += np.bincount(held.term, minlength=n_terms)
                 total += held.n
         found = np.flatnonzero(counts)
@@ -239,7 +249,7 @@ def _gram_times(places: DataFrame, weight: np.ndarray, random: np.ndarray) -> np
         weighted = (random * weight[:, None]).astype(np.float32)
         total = np.zeros((len(weight), rank))
         for batch in batches:
-            for s in _stretches(batch, 2, len(weight)):
+            for s in _stretches(batch, 2):
                 y = _runs(_sums(weighted, s.term, s.block, s.n), 2)
                 y[1:] += y[:-1].copy()  # a block is in the passage that starts there and in the one before
                 for at in range(0, len(s.term), _CHUNK):
@@ -272,7 +282,7 @@ def latent_space(places: DataFrame, weight: np.ndarray, items: np.ndarray, rank:
 
     Items, given as rows of weights, count together as much as all passages.
     """
-    random = np.random.default_rng(seed).standard_normal((len(weight), min(len(weight), rank + 16)))
+    random = np.random.default_rng(seed).standard_normal((len(weight), min(len(weight), rank + 8)))
     gram = _gram_times(places, weight, random)
     own = items.T @ (items @ random)
     gram += own * (np.linalg.norm(gram) / max(np.linalg.norm(own), 1e-12) or 1.0)
@@ -324,7 +334,7 @@ def _search(
         for batch in batches:
             out: list[tuple] = []
             sizes = batch.column(1).to_pylist()
-            for s in _stretches(batch, longest, len(vectors)):
+            for s in _stretches(batch, longest):
                 sums = _sums(vectors, s.term, s.block, s.n)
                 for length, own, unit, norm, words in groups:
                     passages = _runs(sums, length)

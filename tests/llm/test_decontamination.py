@@ -76,10 +76,11 @@ def test_stretches_and_blocks_of_items_change_nothing(planted, monkeypatch):
     terms = latent.Terms.of(np.unique(cut_words(pa.array([prose(5, 1_000)])).hash))
     rows = docs.sparkSession.createDataFrame([(1, prose(5, 1_000)), (2, prose(5, 40))], "id long, text string")
     batch = latent._term_places(rows.coalesce(1), terms).toArrow().combine_chunks().to_batches()[0]
-    (one,) = latent._stretches(batch, 4, len(terms.hashes))
+    (one,) = latent._stretches(batch, 4)
     monkeypatch.setattr(latent, "_HELD", 3)
-    several = list(latent._stretches(batch, 4, len(terms.hashes)))
+    several = list(latent._stretches(batch, 4))
     assert len(several) > 8 and sum(int(s.starts.sum()) for s in several) == int(one.starts.sum()) == 34
+    assert one.n == 40 and len(set(zip(one.block, one.term))) == len(one.block) == len(set(zip(one.word // latent.BLOCK, one.which)))
     # Every passage of four blocks has the same terms at the same words, wherever texts are cut.
     seen = []
     for held in ([one], several):
