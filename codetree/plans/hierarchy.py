@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,26 +53,26 @@ def describe(assigned: DataFrame) -> DataFrame:
 
 
 def derived_parents(built: DataFrame) -> DataFrame:
-    """Codes that only occur as an ancestor, as rows of their own.
+    """Codes that only occur as an ancestor, as rows of their own; columns below their level stay empty.
 
-    Each built row offers its ancestors; columns below the ancestor's level stay
-    empty. Distinct comes before the check against built codes, which then
-    meets one row per ancestor.
+    Ancestors are made distinct from the bottom up: what differs in the 7th character alone becomes one row
+    first, the level above is taken from those rows, and so on. So built rows are shuffled
+    once, without their codes, and every level works on the few rows of the one below.
     """
-    masked = {"extension": F.lit(None).cast("string"), "extension_desc": F.lit(None).cast("string")}
-    for depth, name in enumerate(PARENTS):
-        for column in (name, f"{name}_desc", f"{name}_diff"):
-            if column in built.columns:
-                masked[column] = F.when(F.col("_depth") >= depth, F.col(column))
-    names = F.array(*[F.struct(F.col(p).alias("code"), F.col(f"{p}_desc").alias("text")) for p in PARENTS])
-    offered = (
-        built.select("*", F.posexplode(names).alias("_depth", "_own"))
-        .filter(F.col("_own.code").isNotNull())
-        .withColumns({"icd10_code": F.col("_own.code"), "description": F.col("_own.text"), **masked})
-        .select(*built.columns)
-        .distinct()
+    levels = [[c for c in (p, f"{p}_desc", f"{p}_diff") if c in built.columns] for p in PARENTS]
+    own = {"icd10_code", "description", "extension", "extension_desc", *(c for level in levels for c in level)}
+    shared = [c for c in built.columns if c not in own]
+    types = {f.name: f.dataType for f in built.schema}
+    rows, offered = built, []
+    for depth in reversed(range(len(PARENTS))):
+        kept = [*shared, *(c for level in levels[: depth + 1] for c in level)]
+        rows = rows.select(kept).distinct()
+        values = {"icd10_code": F.col(PARENTS[depth]), "description": F.col(f"{PARENTS[depth]}_desc")}
+        values |= {c: F.lit(None).cast(types[c]) for c in built.columns if c not in kept and c not in values}
+        offered.append(rows.filter(F.col(PARENTS[depth]).isNotNull()).select(*[values.get(c, F.col(c)).alias(c) for c in built.columns]))
+    missing = reduce(DataFrame.unionAll, offered).join(
+        built.select("year", "icd10_code").distinct(), ["year", "icd10_code"], "left_anti"
     )
-    missing = offered.join(built.select("year", "icd10_code").distinct(), ["year", "icd10_code"], "left_anti")
     return missing.withColumns(
         {c: F.regexp_replace(c, ",$", "") for c in built.columns if "desc" in c}
     ).select(*built.columns)
