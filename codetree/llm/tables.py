@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codetree.staging import stage
+from codetree.staging import scratch
 
 # Bits of a membership filter: 8 MB, whatever the table holds.
 FILTER_BITS = 1 << 26
@@ -82,6 +82,17 @@ def free_shuffles(spark: SparkSession) -> None:
 
 def settled(df: DataFrame, label: str) -> DataFrame:
     """``df`` as a staged table, with the shuffle files of making it gone."""
-    out = stage(df, label)
+    path = scratch(df.sparkSession, label)
+    df.write.parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._settled_at = path
     free_shuffles(df.sparkSession)
     return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes settled tables that nothing will read again."""
+    for table in tables:
+        spark = table.sparkSession
+        folder = spark._jvm.org.apache.hadoop.fs.Path(table._settled_at)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
