@@ -32,7 +32,7 @@ from codetree.llm.words import cut_words, slices
 from codetree.staging import stage
 
 BLOCK = 32  # words
-RANK = 64
+RANK = 96
 # Items, or parts of ITEM_WORDS of longer ones, compared with the corpus at a time.
 BLOCK_ITEMS = 1_000
 ITEM_WORDS = 224
@@ -101,18 +101,33 @@ def _parts(wanted: DataFrame) -> DataFrame:
     return stage(wanted.mapInArrow(work, "item_id long, words array<long>, answer array<long>"), "items")
 
 
-def common_subsequence(item: list[int], window: list[int]) -> int:
-    """Length of the longest common subsequence, one bit per word of the item."""
+def places_of(item: list[int]) -> dict[int, int]:
+    """A bit for each place of every word of an item."""
     masks: dict[int, int] = {}
     for i, word in enumerate(item):
         masks[word] = masks.get(word, 0) | 1 << i
-    full = (1 << len(item)) - 1
-    state = full
-    for word in window:
-        hit = state & masks.get(word, 0)
+    return masks
+
+
+def _common(masks: dict[int, int], size: int, window: list[int], least: float = 0) -> int:
+    """Length of the longest common subsequence, or 0 where too few of the item's words stand in the window for ``least``."""
+    hits = [masks[w] for w in window if w in masks]
+    held = 0
+    for hit in hits:
+        held |= hit
+    if held.bit_count() < least:
+        return 0
+    full = state = (1 << size) - 1
+    for mask in hits:
+        hit = state & mask
         if hit:
             state = ((state + hit) | (state - hit)) & full
-    return len(item) - state.bit_count()
+    return size - state.bit_count()
+
+
+def common_subsequence(item: list[int], window: list[int]) -> int:
+    """Length of the longest common subsequence, one bit per word of the item."""
+    return _common(places_of(item), len(item), window)
 
 
 def _term_places(rows: DataFrame, terms: Terms) -> DataFrame:
@@ -331,6 +346,7 @@ def _search(
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vectors, groups, items = held.value
         longest = max((length for length, *_ in groups), default=1)
+        masks = [(places_of(item.words), places_of(item.answer)) for item in items]
         for batch in batches:
             out: list[tuple] = []
             sizes = batch.column(1).to_pylist()
@@ -348,10 +364,11 @@ def _search(
                         end = min(start + length * BLOCK, sizes[row])
                         low, high = np.searchsorted(s.word, [p * BLOCK, p * BLOCK + end - start])
                         window = s.which[low:high].tolist()
-                        lcs = common_subsequence(item.words, window) / len(item.words)
+                        n = len(item.words)
+                        lcs = _common(masks[own[i]][0], n, window, LCS_WITH_ANSWER * n) / n
                         if lcs < LCS_WITH_ANSWER:
                             continue
-                        answer = common_subsequence(item.answer, window) / len(item.answer)
+                        answer = _common(masks[own[i]][1], len(item.answer), window) / len(item.answer)
                         if lcs >= LCS_SURE or answer >= ANSWER:
                             cosine = float((passages[p] @ unit[i]) / max(np.linalg.norm(passages[p]), 1e-12))
                             out.append((row, item.item_id, start, end, cosine, lcs, answer))
