@@ -220,6 +220,21 @@ def test_ill_formed_texts_are_left_out(spark):
     assert element_records(df.limit(0), "xml", ["id"]).count() == 0
 
 
+def test_element_records_stay_where_the_texts_lie(spark):
+    """No exchange, no staged table and no copy of an event per level: disk is the input's alone."""
+    df = spark.createDataFrame([(1, "<r><a>t</a></r>"), (1, "<r><a>t</a></r>")], "id int, xml string")
+    found = element_records(df, "xml", ["id"])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert not any(word in plan for word in ("Exchange", "Window", "FileScan"))
+    assert sorted((r.id, r.pos) for r in found.collect()) == [(1, 1), (1, 1), (1, 2), (1, 2)]
+
+
+def test_entities_within_texts(spark):
+    texts = ["a&amp;lt;b", "&#233;&#xE9;&#x1F600;", "&unknown;", "& ;", "&;", "a&b", "&#xD800;", "&#0;", "&quot;&apos;&lt;&gt;", "&amp", "&#65\n;", "&#x41\u2028;", "&#65\u2028;"]
+    df = spark.createDataFrame([(f"<r>{t}</r>", t) for t in texts], "xml string, t string").select("xml", decode_entities(F.col("t")).alias("t"))
+    assert all(r.text == r.t for r in element_records(df, "xml", ["t"]).collect())
+
+
 def test_entities(spark):
     texts = ["a&amp;lt;b", "&#233;&#xE9;&#x1F600;", "&unknown;", "& ;", "&;", "a&b", "&#xD800;", "&#0;", "&quot;&apos;&lt;&gt;", "&amp", "x"]
     df = spark.createDataFrame([(t,) for t in texts], "t string").coalesce(1)
