@@ -59,6 +59,24 @@ def test_broadest_rule_first(spark):
     assert got == {"K10.1XXA": "wide", "K11.1": None}
 
 
+def test_narrower_rules_multiply_rows_after_the_joins(spark):
+    notes = [("K10", "A", "a"), ("K10", "B", "b"), ("K10.1", "C", "c"), ("K10.1", "D", "d"), ("K10.1", "E", "e"), ("K10.12", "F", "f"), ("K10.12", "G", "g"), ("L10.1", "H", "h"), ("L10.12", "I", "i"), ("L10.12", "J", "j"), ("M10.12", "K", "k")]
+    rules = rule_mentions(spark.createDataFrame([(1, i, "x", *n) for i, n in enumerate(notes)], RULE))
+    rows = spark.createDataFrame(
+        [(1, f"{k}10", f"{k}10.1", f"{k}10.12", None, None) for k in "KKLMN"] + [(1, None, "K10.1", None, None, None)],
+        "year int, first_3 string, first_5 string, first_6 string, first_7 string, first_8 string",
+    )
+    found = apply_rules_broadest_first(rows, rules)
+    assert found.columns == ["year", "first_6", "first_5", "first_3", "first_7", "first_8", "last_char", "extension", "icd10_code"]
+    got = sorted((r.first_3 or "", r.icd10_code, r.last_char or "", r.extension or "") for r in found.collect())
+    want = 12 * [("K10", "K10.12XA", "A", "a"), ("K10", "K10.12XB", "B", "b")] + 2 * [("L10", "L10.12XH", "H", "h")]
+    want += [("M10", "M10.12XK", "K", "k"), ("N10", "N10.12", "", "")] + [("", f"K10.1XX{c}", c, c.lower()) for c in "CDE"]
+    assert got == sorted(want)
+    # One row per code and level is joined, however many rules mention it.
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.rindex("Join ") > plan.rindex("Generate ")
+
+
 def literal_fill(codes, ends):
     """Sort by code, copy the range of an end category, carry it down."""
     out, current = [], None
