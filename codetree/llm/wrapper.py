@@ -10,7 +10,7 @@ not. Where a page has an ``article`` or ``main`` element, only its slots count.
 
 Neighbouring siblings of the same kind, such as the paragraphs of an article, are one
 slot, so a long page is aligned in few steps; containers such as ``div`` are matched one by one
-where both pages have as many.
+where both pages have as many. Lists of any length get the best match.
 """
 
 from __future__ import annotations
@@ -18,7 +18,9 @@ from __future__ import annotations
 import html as entities
 import re
 from collections.abc import Iterable, Iterator
+from math import isqrt
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,8 +31,8 @@ from codetree.llm.host_rank import host_of
 SALTS = 32
 # Elements nested deeper are kept as children of the deepest level.
 MAX_DEPTH = 150
-# Child lists whose product of lengths is larger are matched in one pass, first fit in order.
-_MAX_CELLS = 250_000
+# Tables of more cells are made by whole rows, of which few are held at a time; what they hold is the same.
+_LIST_CELLS = 4_096
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -169,6 +171,9 @@ class Alignment:
         self.sizes: dict[tuple[int, int], int] = {}
         self.same: set[int] = set()  # children (by id) whose slot has the same text in both
         self.runs: dict[int, list[Run]] = {}
+        self.shapes: dict[tuple, int] = {}
+        self.shape_of: dict[int, int] = {}
+        self.shape_sizes: dict[tuple[int, int], int] = {}
 
     def _of(self, node: Node) -> list[Run]:
         if id(node) not in self.runs:
@@ -198,19 +203,71 @@ class Alignment:
         key = (id(a), id(b))
         if key not in self.sizes:
             x, y = self._of(a), self._of(b)
-            self.sizes[key] = self._table(x, y)[-1][-1] if len(x) * len(y) <= _MAX_CELLS else min(len(x), len(y))
+            if len(x) * len(y) <= _LIST_CELLS:
+                self.sizes[key] = self._table(x, y)[-1][-1]
+            else:
+                row = np.zeros(len(y) + 1, np.int32)
+                for row in self._rows(x, y, row):
+                    pass
+                self.sizes[key] = int(row[-1])
         return self.sizes[key]
 
+    def _shape(self, run: Run) -> tuple[str, int]:
+        """A run's kind and, if it is one element, a number for what the sizes of matches below it depend on; else -1."""
+        if len(run) > 1 or isinstance(run[0], str):
+            return _kind(run), -1
+        if id(run[0]) not in self.shape_of:
+            below = tuple(self._shape(r) for r in self._of(run[0]))
+            self.shape_of[id(run[0])] = self.shapes.setdefault(below, len(self.shapes))
+        return _kind(run), self.shape_of[id(run[0])]
+
+    def _rows(self, a: list[Run], b: list[Run], row: np.ndarray) -> Iterator[np.ndarray]:
+        """The rows of ``_table`` that follow ``row``, one for each of ``a``."""
+        places: dict[str, dict[int, list[int]]] = {}
+        for j, y in enumerate(b):
+            kind, shape = self._shape(y)
+            places.setdefault(kind, {}).setdefault(shape, []).append(j)
+        arrays = {kind: [(shape, np.array(at)) for shape, at in shapes.items()] for kind, shapes in places.items()}
+        for x in a:
+            kind, shape = self._shape(x)
+            reached = row[1:].copy()
+            for other, at in arrays.get(kind, ()):
+                weight = 1
+                if shape >= 0 and other >= 0:
+                    if (shape, other) not in self.shape_sizes:
+                        self.shape_sizes[shape, other] = self.size(x[0], b[at[0]][0])
+                    weight += self.shape_sizes[shape, other]
+                reached[at] = np.maximum(reached[at], row[at] + np.int32(weight))
+            row = np.concatenate([row[:1], np.maximum.accumulate(reached)])
+            yield row
+
+    def _pairs_by_rows(self, a: list[Run], b: list[Run]) -> list[tuple[Run, Run]]:
+        """As ``_pairs``, from a table of which one row in many is held and the others are made again."""
+        step = isqrt(len(a)) + 1
+        held = [np.zeros(len(b) + 1, np.int32)]
+        for i, row in enumerate(self._rows(a, b, held[0]), 1):
+            if i % step == 0:
+                held.append(row)
+        out, i, j = [], len(a), len(b)
+        while i and j:
+            low = (i - 1) // step * step
+            first = held[low // step]
+            table = [first, *self._rows(a[low:i], b, first)]
+            while i > low and j:
+                above, row = table[i - low - 1], table[i - low]
+                if row[j] == above[j]:
+                    i -= 1
+                elif row[j] == row[j - 1]:
+                    j -= 1
+                else:
+                    i, j = i - 1, j - 1
+                    out.append((a[i], b[j]))
+        return out
+
     def _pairs(self, a: list[Run], b: list[Run]) -> list[tuple[Run, Run]]:
+        if len(a) * len(b) > _LIST_CELLS:
+            return self._pairs_by_rows(a, b)
         out = []
-        if len(a) * len(b) > _MAX_CELLS:
-            j = 0
-            for x in a:
-                k = next((k for k in range(j, min(len(b), j + 50)) if _kind(b[k]) == _kind(x)), None)
-                if k is not None:
-                    out.append((x, b[k]))
-                    j = k + 1
-            return out
         table, i, j = self._table(a, b), len(a), len(b)
         while i and j:
             if table[i][j] == table[i - 1][j]:

@@ -11,7 +11,7 @@ import pytest
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from codetree.llm import fill_middle, queries, secret_scan, token_alignment, words
+from codetree.llm import fill_middle, queries, secret_scan, token_alignment, words, wrapper
 from tests.llm.test_operators import AWKWARD, DOCS, SF, awkward, documents, empty  # noqa: F401
 
 A_PATH, B_PATH = (public_tokenizers.path(n) for n in queries.ALIGNED)
@@ -318,3 +318,30 @@ def test_step_up_limits():
         passed = np.flatnonzero(upper <= 0.05 * np.arange(1, len(p) + 1) / len(p))
         want = passed[-1] + 1 if len(passed) else 0
         assert (0 if limit is None else (steps >= limit).sum()) == want
+
+
+def test_long_pages_are_aligned_as_short_ones_are(monkeypatch):
+    """The best match at every length: first fit would take the heading's far mate and miss what lies before it."""
+    parts = [f"<p>t{i}</p><b>u{i}</b>" for i in range(300)]
+    reference = "<body>" + "".join(parts[:20]) + "<h3>other</h3>" + "".join(parts[20:]) + "</body>"
+    page = "<body><h3>own</h3>" + "".join(parts) + "</body>"
+    assert wrapper.extract(page, [(reference, wrapper.parse(reference))]) == "own"
+
+    def tree(depth):
+        inside = [rng.choice(["x", "y", " "]) if depth > 2 or rng.random() < 0.3 else tree(depth + 1) for _ in range(rng.randrange(9))]
+        name = rng.choice(["p", "div", "b", "li"])
+        return f"<{name}>{''.join(inside)}</{name}>"
+
+    def aligned(cells):
+        monkeypatch.setattr(wrapper, "_LIST_CELLS", cells)
+        return [[order(wrapper.Alignment(), *pair) for order in (matched, size)] for pair in pairs]
+
+    def matched(alignment, a, b):
+        return [(id(x[0]), id(y[0])) for x, y in alignment._pairs(wrapper._runs(a), wrapper._runs(b))]
+
+    def size(alignment, a, b):
+        return alignment.size(a, b)
+
+    rng = random.Random(3)
+    pairs = [[wrapper.parse("".join(tree(0) for _ in range(12))) for _ in range(2)] for _ in range(40)]
+    assert aligned(0) == aligned(1 << 40)
