@@ -82,3 +82,16 @@ def test_fill_never_sorts_all_rows_in_one_task(spark):
     text = plan._jdf.queryExecution().executedPlan().toString()
     outer = text.split("Union")[0]
     assert "SinglePartition" not in outer
+
+
+def test_leaf_documents_are_parsed_once(spark, monkeypatch):
+    """The query asks for deeper nodes before its rows are read; both read what was parsed."""
+    from codetree.plans import queries
+
+    row = (2031, "P01.1", "P01", "p", "P01.1", "q", None, None, None, None, None, None)
+    names = ["category", "category_desc", "subcategory_1", "subcategory_1_desc", "subcategory_2", "subcategory_2_desc", "subcategory_3", "subcategory_3_desc", "extension", "extension_desc"]
+    leaves = spark.createDataFrame([row], "year int, icd10_code string, " + ", ".join(f"{n} string" for n in names))
+    monkeypatch.setattr(queries, "_leaves", lambda spark, d: leaves)
+    found = queries.q_xml_nodes(spark, "")
+    assert "from_xml" not in found._jdf.queryExecution().optimizedPlan().toString().lower().replace("xmltostructs", "from_xml")
+    assert sorted(tuple(r) for r in found.collect()) == [(2031, 1, "P01", "p"), (2031, 2, "P01.1", "q")]
