@@ -232,6 +232,29 @@ def test_quality_labels(spark):
     assert kept[0, False] >= 0.6 * (kept.get((0, True), 0) + kept[0, False])
 
 
+def test_quality_tells_unfolded_characters_apart(spark):
+    """Characters of one class (here code points six apart, and case) are different characters to the model."""
+    good = "молоко и хлеб на столе " * 20
+    other = "".join(chr(ord(c) + 6) if c != " " else c for c in good)
+    rows = [(1, good, "ru"), (2, other, "ru"), (3, good.upper(), "ru"), (4, "milk and bread " * 20, "en"), (5, "MILK AND BREAD " * 20, "en"), (6, None, "en"), (7, "", "en")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(1, 1, 0), (4, 1, 0)], "doc_id long, quality int, toxic int")
+    found = by_id(kneser_ney.classify(df, labels))
+    assert found[2]["perplexity"] > 2 * found[1]["perplexity"] and found[3]["perplexity"] > 2 * found[1]["perplexity"]
+    assert found[5]["perplexity"] > 2 * found[4]["perplexity"]
+    assert {n for n, r in found.items() if r["keep"]} >= {1, 4} and not {2, 3, 5, 6} & {n for n, r in found.items() if r["keep"]}
+
+
+def test_plain_probabilities_add_up(spark):
+    """Over all characters that can follow a context, seen or not."""
+    df = spark.createDataFrame([("abab cab",), ("ba",), ("é",)], "text string")
+    counts = kneser_ney._counts(df, "text")
+    context, _, _ = kneser_ney.plain_runs(["ab", "xyz", "éa"])
+    pairs = spark.createDataFrame([(int(c),) for c in set(context.tolist())], "context long").crossJoin(spark.range(300).select(F.col("id").alias("symbol")))
+    sums = kneser_ney._scored(pairs, counts).groupBy("context").agg(F.sum("share").alias("share"), F.min("rest").alias("rest")).collect()
+    assert sums and all(abs(r["share"] + r["rest"] - 1) < 1e-9 for r in sums)
+
+
 def test_quality_of_awkward_tables(spark, awkward, empty):
     labels = spark.createDataFrame([(5, 1, 0), (5, 1, 1), (2, 1, 0), (None, 1, 0), (6, None, 0)], "doc_id long, quality int, toxic int")
     found = kneser_ney.classify(awkward, labels).collect()
