@@ -107,3 +107,17 @@ def test_descriptions_equal_but_for_case_and_accents(spark):
     empty = spark.createDataFrame([], "year int, ord int, desc string")
     rules = spark.createDataFrame([], "year int, ord int, name string, note string, char string, text string")
     assert hierarchy(docs, empty, empty, rules).count() == 1
+
+
+def test_parents_are_made_from_the_level_below_once(spark, monkeypatch):
+    """Each level is staged before the one above reads it."""
+    from codetree.plans import hierarchy as h
+
+    staged = []
+    monkeypatch.setattr(h, "stage", lambda df, label, own=h.stage: (staged.append(label), own(df, label))[1])
+    columns = ["year", "icd10_code", "description", *h.LEVEL_COLUMNS, "extension", "extension_desc"]
+    row = (2020, "P45.111A", "all", "P45", "cat,", "P45.1", "one", "P45.11", "two", "P45.111", "three", "P45.111A", "a")
+    built = spark.createDataFrame([row, (2020, "P45.111D", *row[2:11], "P45.111D", "d")], ", ".join(f"{c} {'int' if c == 'year' else 'string'}" for c in columns))
+    got = sorted((r["icd10_code"], r["description"], r["subcategory_1"]) for r in h.derived_parents(built).collect())
+    assert got == [("P45", "cat", None), ("P45.1", "one", "P45.1"), ("P45.11", "two", "P45.1"), ("P45.111", "three", "P45.1")]
+    assert staged == ["parents-3", "parents-2", "parents-1", "parents-0"]

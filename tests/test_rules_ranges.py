@@ -199,3 +199,31 @@ def test_summary_keeps_rules_without_a_note(spark):
     rules = spark.createDataFrame([(7, 1, "L20", None, "A", "x"), (7, 2, "L21", "to L21", "B", "y")], "year int, ord int, name string, note string, char string, text string")
     got = {tuple(r) for r in rule_summary(rule_mentions(rules)).collect()}
     assert got == {(7, None, 1, "NA", "A"), (7, "to L21", 1, "L21", "B")}
+
+
+def test_rules_are_matched_once_per_wording(spark):
+    """A note repeated for many codes is one rule; the longest mention gives its characters, without a window over the matches."""
+    from codetree.operators import rules as r
+
+    note = "to be added to each code from category P45:"
+    said = [(2020, i, f"P45.{i}", note, c, t) for i in range(200) for c, t in (("A", "first"), ("D", "later"))]
+    said += [(2020, 900, "x", "to be added to codes in subcategory P45.1", "S", "narrow"), (2020, 901, "x", None, "Q", "no note")]
+    rules = spark.createDataFrame(said, "year int, ord int, name string, note string, char string, text string")
+    assert r.distinct_rules(rules).count() == 4
+    columns = "year int, icd10_code string, category string, subcategory_1 string, subcategory_2 string, extension string, extension_desc string"
+    rows = [
+        (2020, "P45.1", "P45", "P45.1", None, None, None),
+        (2020, "P45.2", "P45", "P45.2", None, None, None),
+        (2020, "P46", "P46", None, None, None, None),
+        (2020, "P45.21XA", "P45", "P45.2", None, "P45.21XA", None),
+    ]
+    leaves = spark.createDataFrame(rows, columns)
+    plan = r._matches(leaves, r.rule_mentions(rules))._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan
+    want = {
+        ("P45.1XXS", "S", "narrow"), ("P45.2XXA", "A", "first"), ("P45.2XXD", "D", "later"), ("P46", None, None),
+        ("P45.21XA", "A", "first"), ("P45.21XA", "A", "later"),
+    }
+    for mentions in (r.rule_mentions(rules), r.rule_mentions(r.distinct_rules(rules))):
+        got = [(x["icd10_code"], x["extension"], x["extension_desc"]) for x in r.apply_rules(leaves, mentions, unique_leaves=True).collect()]
+        assert len(got) == len(want) and set(got) == want
