@@ -140,6 +140,20 @@ def test_jaccard_components(spark, monkeypatch, width, num, den):
     assert {k: (r["n_shingles"], r["component_id"]) for k, r in found.items()} == brute_components(texts, width, num, den)
 
 
+def test_a_set_of_many_near_copies_is_not_moved_to_all_their_blocks(spark, monkeypatch):
+    base, rng, rows = prose(31, 400).split(), random.Random(7), []
+    for i in range(60):
+        own = list(base)
+        for at in rng.sample(range(0, 400, 33), 3):
+            own[at] = "changed"
+        rows.append((i, " ".join(own)))
+    moved, links = [], jaccard_join._block_links
+    monkeypatch.setattr(jaccard_join, "_block_links", lambda df, *more: moved.append(df.count()) or links(df, *more))
+    out = jaccard_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["component_id"] for r in out} == {0}
+    assert sum(moved) < 4 * len(rows)
+
+
 def test_jaccard_on_awkward_tables(awkward, empty):
     found = jaccard_join.jaccard_components(awkward).collect()
     assert len(found) == len(AWKWARD)
