@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from codetree.functions.text import tokens
@@ -19,11 +22,39 @@ def tokenize(df: DataFrame, text: str = "description", stop_words: list[str] | N
     ).select(*keep, (F.col("pos") + 1).alias("ord"), "word")
 
 
-def _most_frequent(rest: DataFrame, keys: list[str], label: str) -> DataFrame:
-    """(keys, word): the words with the highest count of their group, ties included; staged."""
-    counts = stage(rest.groupBy(*keys, "word").agg(F.sum("n").alias("n")), f"counts-{label}")
-    highest = counts.groupBy(*keys).agg(F.max("n").alias("n"))
-    return stage(counts.join(highest, [*keys, "n"]).select(*keys, "word"), f"words-{label}")
+def _level_counts(words: DataFrame) -> DataFrame:
+    """(code, the levels' keys, word, n, group, n_<level>): how often a code has a word, and how often the code's group of each level.
+
+    All keys refine the 5-character prefix, so one exchange by it and the word serves every level.
+    ``group`` is a hash of both, which orders faster.
+    """
+    counts = char_positions(words).withColumnRenamed("D4", "char_8").repartition("code_5", "word")
+    counts = counts.groupBy("code", "code_5", "code_6", "code_7", "char_8", "word").agg(F.count(F.lit(1)).alias("n"))
+    counts = counts.withColumn("group", F.xxhash64("code_5", "word"))
+    # The longest prefix comes first: its order serves the shorter ones as well.
+    for level, finer in ((7, ["code_6", "code_7"]), (6, ["code_6"]), (5, []), (8, ["char_8"])):
+        counts = counts.withColumn(f"n_{level}", F.sum("n").over(W.partitionBy("group", "word", "code_5", *finer)))
+    return counts
+
+
+def _most_frequent(counts: DataFrame, keys: list[str], level: int, taken: list[tuple[DataFrame, list[str]]]) -> DataFrame:
+    """(group, keys, word): the words with the highest count of their group of the level, ties included; staged.
+
+    ``taken`` are the words of the levels before, with their keys. Only words that a level before has used in the same 5-character
+    prefix are counted anew, without the codes it used them for; the counts of all others hold. Two words whose hashes are
+    equal are both counted anew.
+    """
+    columns = ["group", *keys, "word"]
+    rest = counts.select(*columns, F.col(f"n_{level}").alias("n"))
+    if taken:
+        used = stage(reduce(DataFrame.union, [t.select("group") for t, _ in taken]).distinct(), f"used-{level}")
+        again = counts.join(used, "group", "left_semi")
+        for found, own in taken:
+            again = again.join(found, [*own, "word"], "left_anti")
+        again = stage(again.groupBy(*columns).agg(F.sum("n").alias("n")), f"counts-{level}")
+        rest = rest.join(used, "group", "left_anti").unionByName(again)
+    highest = stage(rest.groupBy(*keys).agg(F.max("n").alias("n")), f"highest-{level}")
+    return stage(rest.join(highest, [*keys, "n"]).select(columns).distinct(), f"words-{level}")
 
 
 def _phrase(words: DataFrame, keys: list[str], name: str) -> DataFrame:
@@ -40,23 +71,18 @@ def phrase_mine(
     without the words of the shorter prefixes; prefixes are taken in the order
     5, 6, 8, 7, where 8 means the 5-character prefix plus the 8th character.
 
-    Words are counted per code once. What a level uses is taken out of the rest once,
-    and the next level counts what is left, so a level costs one aggregate and one anti-join.
+    Words are counted once, for all levels together. A level then takes the highest counts, and
+    counts anew only the few words that levels before it have used.
     """
-    words = tokenize(df.select(code, text), text, stop_words)
-    base = stage(words.groupBy(F.col(code).alias("code"), "word").agg(F.count(F.lit(1)).alias("n")), "words")
-    base = char_positions(base).withColumnRenamed("D4", "char_8")
-
-    k5, k6, k7, k8 = ["code_5"], ["code_6"], ["code_7"], ["code_5", "char_8"]
-    rest = base.select("code_5", "code_6", "code_7", "char_8", "word", "n")
-    found = {}
-    for level, keys in ((5, k5), (6, k6), (8, k8), (7, k7)):
-        found[level] = _most_frequent(rest, keys, str(level))
-        if level != 7:
-            rest = stage(rest.join(found[level], [*keys, "word"], "left_anti"), f"rest-{level}")
-
-    codes = base.select("code", "code_5", "code_6", "code_7", "char_8").distinct()
-    for level, keys in ((5, k5), (6, k6), (7, k7), (8, k8)):
+    words = tokenize(df.select(F.col(code).alias("code"), text), text, stop_words).select("code", "word")
+    levels = {5: ["code_5"], 6: ["code_6"], 8: ["code_5", "char_8"], 7: ["code_7"]}
+    counts = stage(_level_counts(words), "counts")
+    found: dict[int, DataFrame] = {}
+    for level, keys in levels.items():
+        found[level] = _most_frequent(counts, keys, level, [(t, levels[n]) for n, t in found.items()])
+
+    codes = char_positions(counts.select("code").distinct()).withColumnRenamed("D4", "char_8")
+    for level, keys in sorted(levels.items()):
         codes = codes.join(_phrase(found[level], keys, f"c{level}_phrase"), keys, "left")
     return codes.select("code", *[f"c{n}_phrase" for n in (5, 6, 7, 8)])
 

@@ -4,6 +4,7 @@ from collections import Counter, defaultdict
 
 import pytest
 
+from codetree.operators import phrases
 from codetree.operators.phrases import code_spine, neighbour_diff, phrase_mine
 from codetree.plans.phrase_table import OUTPUT, phrase_table
 
@@ -91,3 +92,19 @@ def test_neighbour_diff_takes_words_as_they_are(spark):
     df = spark.createDataFrame([r[:2] for r in rows], "t string, near string").coalesce(1)
     found = neighbour_diff(df, "t", "near", "x").collect()
     assert [(r.t, r.near, r.different_x, r.same_x) for r in found] == rows
+
+
+def test_words_are_exchanged_once_for_all_levels(spark):
+    words = spark.createDataFrame([("A01.11", "arm"), ("A01.12", "arm"), ("A01.12", "leg")], "code string, word string")
+    counts = phrases._level_counts(words)
+    assert counts._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    found = {(r.code, r.word): (r.n, r.n_5, r.n_6, r.n_7, r.n_8) for r in counts.collect()}
+    assert found == {("A01.11", "arm"): (1, 2, 1, 1, 2), ("A01.12", "arm"): (1, 2, 1, 1, 2), ("A01.12", "leg"): (1, 1, 1, 1, 1)}
+
+
+def test_words_of_equal_hash_are_counted_anew(spark, monkeypatch):
+    rng = random.Random(7)
+    texts = [(f"A1{rng.choice('12')}.{rng.choice('12')}{rng.choice('12')}{rng.choice('12')}{rng.choice('AD')}", " ".join(rng.choices("arm leg eye ear toe lip".split(), k=5))) for _ in range(60)]
+    monkeypatch.setattr(phrases.F, "xxhash64", lambda *c: phrases.F.lit(0).cast("long"))
+    got = {r[0]: tuple(r[1:]) for r in phrase_mine(spark.createDataFrame(texts, "code string, description string")).collect()}
+    assert got == mined(texts)
