@@ -61,3 +61,34 @@ def test_planted_near_copies_are_covered(spark):
             low = where[r["doc_id"]]
             inside[r["doc_id"]] += max(0, min(r["end_word"], low + 120) - max(r["start_word"], low))
     assert sum(n >= 70 for n in inside.values()) >= 0.98 * len(where)
+
+
+def test_parts_of_a_passage_do_not_hide_its_exact_repeat(spark):
+    """Before and between two copies of 50 words stand documents with 49 of them, which share most of every window."""
+    texts, where = {}, {}
+    for k in range(30):
+        passage = prose(20_000 + k, WORDS).split()
+        shared = [passage[:-1], passage[1:], passage, passage[:-1], passage[1:], passage]
+        for i, words in enumerate(shared):
+            before = prose(21_000 + 10 * k + i, 60).split()
+            texts[10 * k + i] = " ".join([*before, *words, prose(30_000 + 10 * k + i, 60)])
+            where[10 * k + i] = len(before)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(4)
+    spans = {}
+    for r in compact_windows.repeats(docs).collect():
+        spans.setdefault(r["doc_id"], []).append((r["start_word"], r["end_word"], r["other_doc_id"]))
+    for k in range(30):
+        low = where[10 * k + 5]
+        assert any(start <= low and low + WORDS <= end and other == 10 * k + 2 for start, end, other in spans.get(10 * k + 5, []))
+
+
+def test_a_covered_seed_does_not_hide_the_rest_of_its_diagonal():
+    """The second line repeats on a diagonal whose first seed lies in the first line, which is found on another one."""
+    first, second, noise = (np.arange(n * 1_000, n * 1_000 + 60, dtype=np.uint64) for n in (1, 2, 3))
+    a, b = np.concatenate([first, second]), np.concatenate([first, noise, first[30:], second])
+    seeds = [(c, c, f) for c in (10, 20) for f in (0, 1)] + [(35, 125, 0), (35, 125, 1)]
+    found = compact_windows.passages(a, b, seeds, 46, 2, 0.8)
+    inside = np.zeros(len(a), bool)
+    for low, high, *_ in found:
+        inside[low : high + 1] = True
+    assert inside.all()
